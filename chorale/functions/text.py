@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 NON_SPACE = r"[^\s\x1c-\x1f\x85\p{Z}]"
+# No word character before. The bold A, itself a letter, makes Java step back
+# by whole code points; without one it would look at half a surrogate pair.
+WORD_START = r"(?<![\p{L}\p{N}_𝐀])"
+WORD_END = f"(?!{WORD})"
 
 # The cleaning patterns.
 HTTP_URL = "https?://" + NON_SPACE + "+"
@@ -158,24 +162,31 @@ def is_blank(col: Column | str) -> Column:
     return ~F.coalesce(c, F.lit("")).rlike(NON_SPACE)
 
 
-def char_ngrams(col: Column | str, n_min: int = 1, n_max: int = 4) -> Column:
-    """Character n-grams inside word bounds, with repeats.
+def spaced_line(col: Column | str) -> Column:
+    """The words joined by single spaces, with a space at either end."""
+    c = F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(c, SPACE + "+", " ")), F.lit(" "))
 
-    Each word gets one space on either side. The words are joined by single
-    spaces, so an n-gram of length two or more is a window whose only spaces
-    are at its ends, and one look-ahead regex per length lists them all. Only
-    the single space needs counting apart: neighbouring words share it here.
+
+def char_ngrams(line: Column | str, n_min: int = 1, n_max: int = 4) -> Column:
+    """Character n-grams inside word bounds, with repeats, of a :func:`spaced_line`.
+
+    Each word gets one space on either side. In a spaced line an n-gram of
+    length two or more is a window whose only spaces are at its ends, and one
+    look-ahead regex per length lists them all. Only the single space needs
+    counting apart: neighbouring words share it here. Project the line to a
+    column first, so that it is built once for all lengths.
     """
     if not 1 <= n_min <= n_max:
         raise ValueError(f"bad n-gram range: ({n_min}, {n_max})")
-    c = F.col(col) if isinstance(col, str) else col
-    line = F.concat(F.lit(" "), F.trim(F.regexp_replace(c, SPACE + "+", " ")), F.lit(" "))
+    line = F.col(line) if isinstance(line, str) else line
 
     def windows(n: int) -> str:
         forms = [f"[^ ]{{{n}}}", f" [^ ]{{{n - 1}}}", f"[^ ]{{{n - 1}}} "]
         if n > 2:
             forms.append(f" [^ ]{{{n - 2}}} ")
-        return "(?=(" + "|".join(forms) + "))"
+        # Consuming one character keeps the search on whole code points.
+        return "(?=(" + "|".join(forms) + "))(?s:.)"
 
     parts = []
     if n_min == 1:
@@ -184,7 +195,7 @@ def char_ngrams(col: Column | str, n_min: int = 1, n_max: int = 4) -> Column:
         parts.append(F.regexp_extract_all(line, F.lit("[^ ]"), F.lit(0)))
     if n_min > 3:  # words shorter than the smallest length count once, whole
         parts.append(
-            F.regexp_extract_all(line, F.lit(f"(?=( [^ ]{{1,{n_min - 3}}} ))"), F.lit(1))
+            F.regexp_extract_all(line, F.lit(f"(?=( [^ ]{{1,{n_min - 3}}} )) "), F.lit(1))
         )
     for n in range(max(2, n_min), n_max + 1):
         parts.append(F.regexp_extract_all(line, F.lit(windows(n)), F.lit(1)))

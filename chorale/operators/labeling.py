@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chorale.functions.text import WORD, normalize_text
+from chorale.functions.text import WORD, WORD_END, WORD_START, normalize_text
 from chorale.operators.lexicon import AXES, Axis, weigh_terms
 from chorale.sources.checks import require_columns
 
@@ -64,7 +64,7 @@ def _prefix_tree_regex(terms: list[str]) -> str:
             head, tails = head + tails[0][0], [t[1:] for t in tails]
         branches.append(_quote(head) + _prefix_tree_regex(tails))
     if ends_here:
-        branches.append(f"(?!{WORD})")
+        branches.append(WORD_END)
     return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
 
@@ -111,7 +111,7 @@ class TermMatcher:
             counted[key] = {t: w for t, w in own.items() if t not in known}
         labels = sorted({(r.family, r.label, r.label_pos, r.priority) for r in rows})
         fields = Row("family", "label", "label_pos", "priority")
-        pattern = f"(?<!{WORD})(?=({_prefix_tree_regex(plain)}))" if plain else None
+        pattern = f"{WORD_START}(?=({_prefix_tree_regex(plain)}))" if plain else None
         return cls([fields(*x) for x in labels], bounded, counted, pattern)
 
     def find(self, text: Column) -> Column:
@@ -148,7 +148,7 @@ class TermMatcher:
         for term, weight in self.counted[key].items():
             pattern = _quote(term)
             if not _is_symbol(term):
-                pattern = f"(?<!{WORD}){pattern}(?!{WORD})"
+                pattern = f"{WORD_START}{pattern}{WORD_END}"
             parts.append(F.regexp_count(text, F.lit(pattern)).cast("bigint") * weight)
         return reduce(Column.__add__, parts)
 
@@ -181,7 +181,7 @@ def score_joined(
         raise ValueError(f"term cannot be matched as a span of words: {shape.bad!r}")
     spans = [
         F.regexp_extract_all(
-            "_clean", F.lit(f"(?<!{WORD})(?=({WORD}++(?:{gap}++{WORD}++){{{k}}}))"), F.lit(1)
+            "_clean", F.lit(f"{WORD_START}(?=({WORD}++(?:{gap}++{WORD}++){{{k}}}))"), F.lit(1)
         )
         for k in range(shape.words or 0)
     ]
@@ -282,8 +282,16 @@ def label_corpus(
 
 
 def score_rows(scored: DataFrame, id_col: str = "id") -> DataFrame:
-    """The score map in long form: one row per message and label."""
-    return scored.select(id_col, F.inline("scores")).select(id_col, "family", "label", "score")
+    """The score map in long form: one row per message and label.
+
+    The outer form keeps Catalyst from adding a filter on the size of
+    ``scores``, which it would push down and compute a second time.
+    """
+    return (
+        scored.select(id_col, F.inline_outer("scores"))
+        .where(F.col("label").isNotNull())
+        .select(id_col, "family", "label", "score")
+    )
 
 
 def label_distribution(labelled: DataFrame, axes: tuple[Axis, ...] = AXES) -> DataFrame:

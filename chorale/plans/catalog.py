@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.functions.labels import decode_tones, label_set, split_labels, threshold_indicators
-from chorale.functions.text import char_ngrams, normalize_text, strip_accents, word_count
+from chorale.functions.text import char_ngrams, normalize_text, spaced_line, strip_accents, word_count
 from chorale.operators import corpus, evaluation, labeling, learning, sampling, scoring, tfidf
 from chorale.operators.lexicon import demo_lexicon
 from chorale.plans.inputs import documents, messages, table, turns
@@ -150,10 +150,12 @@ def term_counts(spark, sf_dir):
 
 
 def ngram_totals(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    lines = documents(spark, sf_dir).select("id", spaced_line("text").alias("line"))
+    grams = lines.select("id", char_ngrams("line").alias("grams"))
+    return grams.select(
         "id",
-        F.size(char_ngrams("text")).alias("ngrams"),
-        F.size(F.array_distinct(char_ngrams("text"))).alias("distinct_ngrams"),
+        F.size("grams").alias("ngrams"),
+        F.size(F.array_distinct("grams")).alias("distinct_ngrams"),
     )
 
 
@@ -381,7 +383,13 @@ _DOCUMENT_SCHEMA = "doc_id LONG, text STRING"
 
 
 def _message_stream(spark, sf_dir):
-    raw = stream.read_messages(spark, f"{sf_dir}/documents*.parquet", _DOCUMENT_SCHEMA, "parquet")
+    raw = stream.read_messages(
+        spark,
+        f"{sf_dir}/documents*.parquet",
+        _DOCUMENT_SCHEMA,
+        "parquet",
+        partitions=spark.sparkContext.defaultParallelism,
+    )
     return raw.withColumnRenamed("doc_id", "id")
 
 

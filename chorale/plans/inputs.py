@@ -64,7 +64,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns with one number as id."""
-    return table(spark, sf_dir, "conversations").select(
+    rows = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    return rows.select(
         (F.col("conv_id") * 100_000 + F.col("turn")).alias("id"), "text"
     )
 

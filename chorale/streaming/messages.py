@@ -22,15 +22,25 @@ from chorale.operators.tfidf import TfidfModel
 
 
 def read_messages(
-    spark: SparkSession, path: str, schema: str, file_format: str = "json", files_per_trigger: int = 1_000
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    file_format: str = "json",
+    files_per_trigger: int = 1_000,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """New files below ``path`` as a stream."""
-    return (
+    """New files below ``path`` as a stream.
+
+    ``partitions`` rebalances a feed of few files over that many tasks; leave
+    it out where a batch holds more files than the cluster has cores.
+    """
+    stream = (
         spark.readStream.schema(schema)
         .format(file_format)
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(path)
     )
+    return stream.repartition(partitions) if partitions else stream
 
 
 def label_messages(stream: DataFrame, matcher: TermMatcher, text_col: str = "text") -> DataFrame:
