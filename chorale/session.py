@@ -31,9 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    fallback = tempfile.mkdtemp(prefix="chorale-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chorale-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
