@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm.common import table
+from chorale.llm.minhash import near_duplicates
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, by a model fitted on the labels outside the held-out quarter."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,6 +32,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
 }
 
