@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 
 from chorale.llm.common import table
 from chorale.llm.minhash import near_duplicates
+from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts of the fixed patterns, a digest of their spans, all spans."""
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["kind"] != "noise")
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.expr(f"filter(secrets, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
@@ -32,6 +42,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secrets": op4_secrets,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
 }
