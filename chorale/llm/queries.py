@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chorale.llm.common import table
 from chorale.llm.minhash import near_duplicates
+from chorale.llm.mixing import mix_sources
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
@@ -22,6 +23,13 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
@@ -43,6 +51,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
+    "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
 }
