@@ -11,9 +11,19 @@ from chorale.llm.common import table
 from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.secrets import KINDS, scan_secrets
+from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and whether they decode to its text."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = Vocabulary.load()
+    coded = decode(encode(documents, vocabulary), vocabulary)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts of the fixed patterns, a digest of their spans, all spans."""
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
@@ -50,6 +60,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
