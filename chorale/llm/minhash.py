@@ -136,22 +136,18 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Surviving pairs of different components between two blocks of a bucket, or inside one."""
+    """Surviving pairs of different components between a block of a bucket and a block of its rest."""
     for pdf in batches:
         out = []
-        for i, j, members in zip(pdf["i"], pdf["j"], pdf["members"], strict=True):
+        for members in pdf["members"]:
             node = np.array([m["node"] for m in members], np.int64)
             group = np.array([m["component"] for m in members], np.int64)
-            block = np.array([m["block"] for m in members], np.int64)
+            rest = np.array([m["rest"] for m in members], bool)
             sign = _signs([m["sign"] for m in members])
-            for k in range(len(node)):
-                other = (group != group[k]) & (node > node[k])
-                if i != j:
-                    other &= block != block[k]
-                others = np.flatnonzero(other)
-                if len(others):
-                    kept = others[surviving(np.broadcast_to(sign[k], (len(others), HASHES)), sign[others])]
-                    out += [(int(node[k]), int(node[x])) for x in kept]
+            for k in np.flatnonzero(rest):
+                others = np.flatnonzero(~rest & (group != group[k]))
+                kept = others[surviving(np.broadcast_to(sign[k], (len(others), HASHES)), sign[others])]
+                out += [(int(min(node[k], node[x])), int(max(node[k], node[x]))) for x in kept]
         yield pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -212,15 +208,23 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     links = materialize(_confirm(stars, source, classes), "leader-links")
 
     found = connected_components(links)
-    placed = members.join(found, "node", "left").select("band", "n", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.where("low != high").select("band"), "band")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = placed.select("*", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks"))
-    # a member meets every block of its bucket once; the pair of blocks is named by its smaller and larger number
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = placed.join(signs, "node").groupBy("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    meeting = meeting.agg(F.collect_list(F.struct("node", "component", "block", "sign")).alias("members")).drop("band")
+    placed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    by_component = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    mixed = by_component.groupBy("band").agg(
+        F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("n"), F.count("*").alias("components")
+    )
+    mixed = mixed.where("components > 1").select("band", "n", F.col("big.component").alias("big"), (F.col("n") - F.col("big.n")).alias("rest"))
+    placed = placed.join(mixed, "band")
+    # all members meet those outside the bucket's largest component: (block of all, block of the rest)
+    all_blocks, rest_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "rest"))
+    own_all, own_rest = (F.pmod(F.xxhash64("node", F.lit(c)), b).cast("int") for c, b in (("all", all_blocks), ("rest", rest_blocks)))
+    place = lambda i, j, rest: F.struct(i.alias("i"), j.alias("j"), F.lit(rest).alias("rest"))
+    places = F.transform(F.sequence(F.lit(0), rest_blocks - 1), lambda j: place(own_all, j, False))
+    as_rest = F.transform(F.sequence(F.lit(0), all_blocks - 1), lambda i: place(i, own_rest, True))
+    places = F.when(F.col("component") == F.col("big"), places).otherwise(F.concat(places, as_rest))
+    placed = placed.select("band", "node", "component", F.explode(places).alias("place"))
+    meeting = placed.join(signs, "node").groupBy("band", "place.i", "place.j")
+    meeting = meeting.agg(F.collect_list(F.struct("node", "component", "place.rest", "sign")).alias("members")).select("members")
     pairs = materialize(meeting.mapInPandas(_across, "a long, b long").distinct(), "block-pairs")
     links = links.unionByName(materialize(_confirm(pairs, source, classes), "block-links"))
 
