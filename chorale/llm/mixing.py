@@ -146,28 +146,30 @@ def _rounded_up(rounds: int) -> Column:
     return F.coalesce(up, F.lit(False))
 
 
-def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``size``, ``source_size``, ``target``, ``rate``, ``copies`` for every row of ``documents``.
+#: Sources whose state is broadcast; more are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
+
+
+def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", out: str = "mix") -> DataFrame:
+    """``documents`` with a struct added: ``size``, ``source_size``, ``target``, ``rate``, ``copies``.
 
     Sizes are words. Null texts have size 0; empty documents keep one copy, which takes nothing. A full source takes
     ``CAP`` copies of each document, a source without words has target 0. Repeated rows get equal copies. An empty
-    table gives an empty result.
+    table gives an empty result. A column named ``out`` is replaced. The texts are not shuffled.
     """
-    sized = documents.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_hash")
-    )
+    size, drawn = word_count(F.col(text)), F.xxhash64(doc_id, text)
+    drawn = (F.pmod(drawn, F.lit(1 << 40)) + 1) / float(1 << 40)
+    sized = documents.select(F.col(source).cast("string").alias("source"), size.alias("size"), drawn.alias("drawn"))
     sized = materialize(sized, "sizes")
-    targets = materialize(source_targets(sized.select("source", "size")), "targets")
-    solved = solve_multipliers(sized.select("source", "size"), targets)
+    targets = materialize(source_targets(sized), "targets")
+    solved = solve_multipliers(sized, targets)
 
     solved = solved.select(F.col("source").alias("of"), "mean", "multiplier", "target")
     rate = _rate(F.col("multiplier"), F.col("size"), F.col("mean"))
+    fraction = F.col("rate") - F.floor("rate")
+    spot = F.when(fraction > 0, F.floor(F.col("drawn") / (F.col("drawn") + fraction) * float(BINS**PASSES)))
     rated = sized.where("size > 0").join(solved, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)
-    whole = F.floor("rate")
-    fraction = F.col("rate") - whole
-    drawn = (F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 40)) + 1) / float(1 << 40)
-    spot = F.when(fraction > 0, F.floor(drawn / (drawn + fraction) * float(BINS**PASSES)))
-    rated = rated.select("doc_id", "text_hash", "source", "size", "target", whole.cast("int").alias("whole"), spot.alias("spot"))
+    rated = rated.select("source", "size", "target", F.floor("rate").alias("whole"), spot.alias("spot"))
     debt = rated.groupBy("source", "target").agg(F.sum(F.col("size") * F.col("whole")).alias("sure"))
     owed = debt.select("source", F.floor(F.col("target") - F.col("sure")).cast("long").alias("due"))
     open_ = rated.where("spot IS NOT NULL")
@@ -183,11 +185,17 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
 
     state = targets.join(solved.drop("target"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of", "rows")
     state = state.join(places, F.col("source").eqNullSafe(F.col("of0")), "left").drop("of0")
-    state = state.withColumnRenamed("source", "of")
+    state = materialize(state.withColumnRenamed("source", "of"), "mixing-state")
     full = F.col("mean").isNull() & (F.col("target") > 0)
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(full, F.lit(float(CAP))).otherwise(F.coalesce(rate, F.lit(0.0)))
-    up = F.when(_rounded_up(TOPS), F.lit(1)).otherwise(F.lit(0))
-    out = sized.join(state, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)
-    out = out.withColumn("spot", F.when((F.col("size") > 0) & F.col("place0").isNotNull(), spot))
+    up = F.when((F.col("size") > 0) & _rounded_up(TOPS), F.lit(1)).otherwise(F.lit(0))
     copies = F.least(F.floor("rate").cast("int") + up, F.lit(CAP))
-    return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", copies.alias("copies"))
+
+    # names of the state could clash with the caller's columns, so these travel in one struct
+    kept = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c.lower() != out.lower()]).alias("kept")
+    rows = documents.select(kept, F.col(source).cast("string").alias("source"), size.alias("size"), drawn.alias("drawn"))
+    if state.count() <= BROADCAST_SOURCES:
+        state = F.broadcast(state)
+    mixed = rows.join(state, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)
+    mixed = mixed.withColumn("spot", F.when(F.col("place0").isNotNull(), spot)).withColumn("copies", copies)
+    return mixed.select("kept.*", F.struct("size", "source_size", "target", "rate", "copies").alias(out))

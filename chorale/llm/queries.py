@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
-    return mixed.select("doc_id", "size", "source_size", "target", taken)
+    taken = (F.col("mix.size") * F.col("mix.copies")).cast("long").alias("taken")
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
