@@ -13,6 +13,7 @@ from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
+from chorale.llm.sharding import shard_by_bytes
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
 
@@ -25,6 +26,18 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
 
 
+SHARDS = 24
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes, copies together."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
+    sharded = shard_by_bytes(documents, SHARDS, keep=["doc_id", "text_crc32"])
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts of the fixed patterns, a digest of their spans, all spans."""
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
@@ -63,6 +76,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_sharding": op3_sharding,
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
