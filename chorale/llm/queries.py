@@ -15,6 +15,7 @@ from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.sharding import shard_by_bytes
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
+from chorale.llm.urls import Rule, filter_urls
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+]
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule that decides on every page's url, and its verdict."""
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
@@ -81,6 +95,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
+    "op9_urls": op9_urls,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_urls": r"""
+        WITH cut AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+        parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut),
+        judged AS (
+            SELECT *, CASE
+                WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM parts)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM judged""",
+}
