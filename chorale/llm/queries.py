@@ -14,6 +14,7 @@ from chorale.llm.mixing import mix_sources
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.sharding import shard_by_bytes
+from chorale.llm.topk import top_k
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 from chorale.llm.urls import Rule, filter_urls
 
@@ -27,6 +28,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of highest inner product for every fiftieth vector."""
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
 SHARDS = 24
 
 
@@ -90,6 +96,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_topk": op2_topk,
     "op3_sharding": op3_sharding,
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
@@ -99,6 +106,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id != c.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op9_urls": r"""
         WITH cut AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
         parts AS (
