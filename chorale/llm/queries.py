@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chorale.llm.common import table
 from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
+from chorale.llm.neighbours import near_vectors
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.sharding import shard_by_bytes
@@ -93,6 +94,11 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and groups of all vectors."""
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
     "op9_urls": op9_urls,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 ORACLES: dict[str, str] = {
@@ -133,4 +140,19 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op10_near_vectors": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id != b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reached(vec_id, root) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.vec_id),
+        roots AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY vec_id),
+        counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM roots LEFT JOIN counts USING (vec_id)""",
 }
