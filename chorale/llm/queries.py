@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm.common import table
+from chorale.llm.html import extract_text
 from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.neighbours import near_vectors
@@ -81,6 +82,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 RULES = [
     Rule("net", "/", "block"),
     Rule("example.net", "/en/", "allow"),
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
+    "op8_html": op8_html,
     "op9_urls": op9_urls,
     "op10_near_vectors": op10_near_vectors,
 }
