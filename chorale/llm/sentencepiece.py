@@ -28,6 +28,8 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,10 +42,13 @@ from chorale.llm.common import materialize, small_batches, unclashed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer texts are split. Stretches that a worker remembers.
-CHUNK, REMEMBERED = 16_384, 200_000
+CHUNK, REMEMBERED = 16_384, 300_000
 MARK = "▁"
 SCALE, PENALTY = 1000, 10
 NEVER = -(1 << 60)
+#: Longest stretch that is solved together with others and remembered, and how many are solved together.
+WIDE, TOGETHER = 48, 20_000
+Solved = tuple[list[int], int]
 STRETCHES = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -58,7 +63,20 @@ class Vocabulary:
     reach: int = 1
     cuts: bool = False
     unknown: int = 0
-    memory: dict[str, tuple[list[int], int]] = field(default_factory=dict)
+    #: Every start of a piece, with the piece's score or, of a mere start, None.
+    starts: dict[str, int | None] = field(default_factory=dict)
+    memory: dict[str, Solved] = field(default_factory=dict)
+    older: dict[str, Solved] = field(default_factory=dict)
+    texts: list[str] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        for piece, score in self.scores.items():
+            for n in range(1, len(piece)):
+                self.starts.setdefault(piece[:n], None)
+            self.starts[piece] = score
+        first = self.byte_ids[0]
+        self.texts = [p.replace(MARK, " ") for p in self.pieces]
+        self.texts[first : first + 128] = map(chr, range(128))
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
@@ -77,25 +95,31 @@ class Vocabulary:
         )
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memory": {}}
+        return self.__dict__ | {"memory": {}, "older": {}}
 
     def paths(self, text: str, entry: list[int], stop: int) -> tuple[list[int], list[int]]:
         """Best score and last start of every position, from ``entry`` scores, by pieces that start before ``stop``."""
         best = (entry + [NEVER] * (stop + self.reach))[: stop + self.reach + 1]
         came = [-1] * len(best)
-        scores, n = self.scores, len(text)
+        starts, n = self.starts, len(text)
         for p in range(min(stop, n)):
             here = best[p]
             if here <= NEVER // 2:
                 continue
-            for q in range(p + 1, min(p + self.reach, n) + 1):
-                score = scores.get(text[p:q])
-                if score is None:
-                    if q > p + 1:
-                        continue
-                    score = self.unknown
-                if here + score > best[q]:
+            q = p + 1
+            score = starts.get(text[p:q], NEVER)
+            if score is None or score == NEVER:  # no piece of this one character: it becomes bytes
+                if here + self.unknown > best[q]:
+                    best[q], came[q] = here + self.unknown, p
+                if score is not None:
+                    continue
+            while score != NEVER:
+                if score is not None and here + score > best[q]:
                     best[q], came[q] = here + score, p
+                q += 1
+                if q > n:
+                    break
+                score = starts.get(text[p:q], NEVER)
         return best, came
 
     def trace(self, text: str, came: list[int], at: int) -> tuple[list[int], int]:
@@ -108,39 +132,131 @@ class Vocabulary:
             at = came[at]
         return [i for part in reversed(out) for i in part], at
 
-    def stretch(self, text: str) -> tuple[list[int], int]:
-        """Ids and score of a stretch between two cuts, remembered."""
-        known = self.memory.get(text)
-        if known is None:
-            best, came = self.paths(text, [0], len(text))
-            known = (self.trace(text, came, len(text))[0], best[len(text)])
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            if len(text) <= 64:
-                self.memory[text] = known
-        return known
+    def solve(self, stretches: list[str]) -> dict[str, Solved]:
+        """Ids and scores of many distinct stretches, all advanced together one character at a time."""
+        long = [s for s in stretches if len(s) > WIDE or "\0" in s]
+        out = {}
+        for s in long:
+            best, came = self.paths(s, [0], len(s))
+            out[s] = self.trace(s, came, len(s))[0], best[len(s)]
+        rest = sorted((s for s in stretches if len(s) <= WIDE and "\0" not in s), key=len, reverse=True)
+        for at in range(0, len(rest), TOGETHER):
+            self._solve_together(rest[at : at + TOGETHER], out)
+        return out
+
+    def _solve_together(self, stretches: list[str], out: dict[str, Solved]) -> None:
+        """Longest first, so that those still going on at a position stand in front."""
+        lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        wide = int(lengths[0])
+        chars = np.array(stretches, f"<U{wide}").view(np.uint32).reshape(-1, wide).astype(np.int64)
+        best = np.full((len(stretches), wide + 1), NEVER, np.int64)
+        best[:, 0] = 0
+        came = np.zeros((len(stretches), wide + 1), np.int64)
+        piece = np.zeros((len(stretches), wide + 1), np.int64)
+        keys, scores, ids = self.trie
+
+        def offer(rows: np.ndarray, p: int, q: int, score, own) -> None:
+            total = best[rows, p] + score
+            better = total > best[rows, q]
+            rows = rows[better]
+            best[rows, q], came[rows, q], piece[rows, q] = total[better], p, own[better]
+
+        for p in range(wide):
+            alive = np.arange(int(np.searchsorted(-lengths, -p, "left")))
+            node = np.zeros(len(alive), np.int64)
+            for q in range(p + 1, min(p + self.reach, wide) + 1):
+                on = lengths[alive] >= q
+                alive, node = alive[on], node[on]
+                wanted = (node << 21) | chars[alive, q - 1]
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                on = keys[at] == wanted
+                whole = on & (scores[at] > NEVER)
+                offer(alive[whole], p, q, scores[at[whole]], ids[at[whole]])
+                if q == p + 1:  # no piece of this one character: it becomes bytes
+                    lone = alive[~whole]
+                    code = chars[lone, p]
+                    offer(lone, p, q, self.unknown, np.where(code < 128, self.byte_ids[0] + code, -1))
+                alive, node = alive[on], at[on] + 1
+                if not len(alive):
+                    break
+        rows, at, steps = np.arange(len(stretches)), lengths.copy(), []
+        while len(rows):
+            own = np.full(len(stretches), -2, np.int64)
+            own[rows] = piece[rows, at[rows]]
+            steps.append(own)
+            at[rows] = came[rows, at[rows]]
+            rows = rows[at[rows] > 0]
+        table = np.stack(steps[::-1], axis=1)
+        totals = best[np.arange(len(stretches)), lengths].tolist()
+        spelled = (table == -1).any(axis=1).tolist()
+        skipped = (table == -2).sum(axis=1).tolist()
+        for s, ids_, skip, bytes_, total in zip(stretches, table.tolist(), skipped, spelled, totals, strict=True):
+            if bytes_:  # a character of several bytes outside the vocabulary
+                _, back = self.paths(s, [0], len(s))
+                out[s] = self.trace(s, back, len(s))[0], total
+            else:
+                out[s] = ids_[skip:], total
+
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys (node, character), and score and id of the piece that ends there; a node is its key's place + 1."""
+        level, found = {"": 0}, []
+        by_length: dict[int, list[str]] = {}
+        for start in self.starts:
+            by_length.setdefault(len(start), []).append(start)
+        # nodes get numbers that grow with depth, so keys of one depth follow those of the one before
+        place = 0
+        for n in sorted(by_length):
+            own = sorted((level[s[:-1]] << 21 | ord(s[-1]), s) for s in by_length[n])
+            level = {}
+            for key, s in own:
+                found.append((key, self.starts[s], self.ids.get(s, -1)))
+                place += 1
+                level[s] = place
+        keys = np.array([k for k, *_ in found], np.int64)
+        return keys, np.array([NEVER if s is None else s for _, s, _ in found], np.int64), np.array([i for *_, i in found], np.int64)
+
+    def recall(self, stretches: list[str]) -> dict[str, Solved]:
+        """Ids and score of each stretch between two cuts; the solutions are remembered."""
+        out, new = {}, []
+        for s in set(stretches):
+            known = self.memory.get(s) or self.older.get(s)
+            if known is None:
+                new.append(s)
+            else:
+                out[s] = known
+        solved = self.solve(new)
+        out |= solved
+        if len(self.memory) >= REMEMBERED:
+            self.memory, self.older = {}, self.memory
+        self.memory.update((s, x) for s, x in solved.items() if len(s) <= WIDE)
+        return out
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text in one piece."""
-        if not text:
-            return []
-        text = normalize(text)
-        out: list[int] = []
-        for part in STRETCHES.findall(text) if self.cuts else [text]:
-            out += self.stretch(part)[0]
-        return out
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of whole texts."""
+        cut = [(STRETCHES.findall(normalize(t)) if self.cuts else [normalize(t)]) if t else [] for t in texts]
+        known = self.recall([s for parts in cut for s in parts])
+        return [list(chain.from_iterable([known[s][0] for s in parts])) for parts in cut]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that form no character become the replacement character."""
-        out, pending, first = [], bytearray(), self.byte_ids[0]
-        for i in ids:
+        texts, first = self.texts, self.byte_ids[0]
+        ids = np.asarray(ids, np.int64)
+        if not ((ids >= first + 128) & (ids < first + 256)).any():  # all bytes are characters of their own
+            return "".join([texts[i] for i in ids.tolist()]).removeprefix(" ")
+        out, pending = [], bytearray()
+        for i in ids.tolist():
             if first <= i < first + 256:
                 pending.append(i - first)
                 continue
             if pending:
                 out.append(pending.decode("utf-8", "replace"))
                 pending.clear()
-            out.append(self.pieces[i].replace(MARK, " "))
+            out.append(texts[i])
         out.append(pending.decode("utf-8", "replace"))
         return "".join(out).removeprefix(" ")
 
@@ -167,7 +283,9 @@ class Vocabulary:
                 if i >= size:
                     out[i, i - size] = 0
             return out
-        middle = sum(self.stretch(s)[1] for s in STRETCHES.findall(chunk[first:last]))
+        parts = STRETCHES.findall(chunk[first:last])
+        known = self.recall(parts)
+        middle = sum(known[s][1] for s in parts)
         tail = np.array(self.paths(chunk[last:], [0], size - last)[0][size - last : size - last + self.reach])
         for i in range(min(first, self.reach - 1) + 1):
             head = self.paths(chunk[:first], [NEVER] * i + [0], first)[0][first]
@@ -192,8 +310,10 @@ class Vocabulary:
             return self.trace(chunk, came, size + leave)[0]
         _, came = self.paths(chunk[:first], list(reached[: first + 1]), first)
         out = self.trace(chunk[:first], came, first)[0]
-        for s in STRETCHES.findall(chunk[first:last]):
-            out += self.stretch(s)[0]
+        parts = STRETCHES.findall(chunk[first:last])
+        known = self.recall(parts)
+        for s in parts:
+            out += known[s][0]
         _, came = self.paths(chunk[last:], [0], size - last)
         return out + self.trace(chunk[last:], came, size - last + leave)[0]
 
@@ -286,10 +406,10 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [vocabulary.encode(t) for t in batch.column(place).to_pylist()]
+            ids = vocabulary.encode_all(batch.column(place).to_pylist())
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=offsets[1:])
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, flat)], [*batch.schema.names, out])
 
     length = F.coalesce(F.length(text), F.lit(0))
@@ -307,6 +427,6 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, *, ids: str
 
     @F.pandas_udf("string")
     def spell(column: pd.Series) -> pd.Series:
-        return pd.Series([vocabulary.decode(() if x is None else x.tolist()) for x in column])
+        return pd.Series([vocabulary.decode(() if x is None else x) for x in column])
 
     return unclashed(encoded, [out]).withColumn(out, spell(F.col(f"`{ids}`")))
