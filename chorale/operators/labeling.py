@@ -1,14 +1,15 @@
 """Weak labelling by weighted keyword lexicons.
 
-Two ways give the same scores:
+Two plans give the same scores for every lexicon:
 
-* **inline** (the default): the lexicon becomes one look-ahead regex shaped as
-  a prefix tree. Each row finds its own matches and decides its own labels, so
-  labelling is a pure projection: no explode, no join, no shuffle, and it works
-  unchanged on a stream.
-* **joined**, for a lexicon above ``INLINE_TERMS``: candidate spans are exploded
+* **inline** (the default, and the only one on a stream): the lexicon becomes
+  one look-ahead regex shaped as a prefix tree. Each row finds its own matches
+  and decides its own labels, so labelling is a pure projection: no explode, no
+  join, no shuffle.
+* **joined**, for a lexicon above ``INLINE_TERMS``: spans of words are exploded
   and joined to the lexicon table, which is broadcast only up to
-  ``BROADCAST_TERMS`` counted terms and shuffled beyond that.
+  ``BROADCAST_TERMS`` counted terms and shuffled beyond that. Symbols and other
+  terms that are no spans of words are counted in the row as in the inline plan.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql.window import Window
 
 from chorale.functions.text import WORD, WORD_END, WORD_START, normalize_text
 from chorale.operators.lexicon import AXES, Axis, weigh_terms
+from chorale.session import materialize
 from chorale.sources.checks import require_columns
 
 INLINE_TERMS = 5_000
@@ -122,6 +124,8 @@ class TermMatcher:
 
     def scores(self, text: Column, found: Column) -> Column:
         """The positive label scores of a row."""
+        if not self.labels:
+            return F.array().cast(_SCORE_TYPE)
         return F.filter(
             F.array(
                 *[
@@ -163,40 +167,42 @@ def score_inline(df: DataFrame, matcher: TermMatcher, text_col: str = "text") ->
     )
 
 
-def score_joined(
-    df: DataFrame, terms: DataFrame, text_col: str = "text", id_col: str = "id"
-) -> DataFrame:
+def _spannable(term: Column) -> Column:
+    """Terms found as spans of words: a word at both ends, and no match can share characters with another."""
+    at = F.sequence(F.lit(1), F.length(term) - 1)
+    shares = F.exists(at, lambda i: term.startswith(F.substring(term, i + 1, F.length(term))) & ~F.substring(term, i, 1).rlike(WORD))
+    return term.rlike(f"^{WORD}(.*{WORD})?$") & ((F.length(term) < 2) | ~shares)
+
+
+def score_joined(df: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``scores`` by joining text spans to the weighted terms.
 
-    Needs a unique ``id_col``. Every term must be a symbol of one character or
-    start and end with a word character without overlapping itself.
+    Rows are told apart by a number of their own, given when the corpus is
+    written to the shared folder; ids may repeat. Terms that are no spans of
+    words are gathered on the driver.
     """
     gap = r"[^\p{L}\p{N}_]"
-    shape = terms.agg(
-        F.count("*").alias("n"),
-        F.max(F.regexp_count("term", F.lit(WORD + "+"))).alias("words"),
-        F.min(F.when(~F.col("term").rlike(f"^({WORD}(.*{WORD})?|{gap})$"), F.col("term"))).alias("bad"),
-    ).first()
-    if shape.bad is not None:
-        raise ValueError(f"term cannot be matched as a span of words: {shape.bad!r}")
+    spanned = terms.where(_spannable(F.col("term")))
+    matcher = TermMatcher.from_rows(terms.where(~_spannable(F.col("term"))).collect())
+    shape = spanned.agg(F.count("*").alias("n"), F.max(F.regexp_count("term", F.lit(WORD + "+"))).alias("words")).first()
     spans = [
         F.regexp_extract_all(
             "_clean", F.lit(f"{WORD_START}(?=({WORD}++(?:{gap}++{WORD}++){{{k}}}))"), F.lit(1)
         )
         for k in range(shape.words or 0)
     ]
-    symbols = F.regexp_extract_all("_clean", F.lit(gap), F.lit(0))
-    hits = (
-        df.select(id_col, normalize_text(text_col).alias("_clean"))
-        .where(F.col("_clean") != "")
-        .select(id_col, F.explode(F.concat(symbols, *spans)).alias("term"))
-        .join(F.broadcast(terms) if shape.n <= BROADCAST_TERMS else terms, "term")
-        .groupBy(id_col, "family", "label", "label_pos", "priority")
-        .agg(F.sum("weight").alias("score"))
-    )
-    entry = F.struct("family", "label", "label_pos", "priority", "score")
-    scores = hits.groupBy(id_col).agg(F.collect_list(entry).alias("scores"))
-    return df.join(scores, id_col, "left").withColumn(
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "corpus")
+    clean = rows.select("_row", normalize_text(text_col).alias("_clean")).where(F.col("_clean") != "")
+    label = ["family", "label", "label_pos", "priority"]
+    hits = clean.withColumn("scores", matcher.scores(F.col("_clean"), matcher.find(F.col("_clean"))))
+    hits = hits.select("_row", F.inline("scores")).withColumnRenamed("score", "weight")
+    if spans:
+        found = clean.select("_row", F.explode(F.concat(*spans)).alias("term"))
+        found = found.join(F.broadcast(spanned) if shape.n <= BROADCAST_TERMS else spanned, "term")
+        hits = hits.unionByName(found.select("_row", *label, "weight"))
+    scores = hits.groupBy("_row", *label).agg(F.sum("weight").alias("score")).groupBy("_row")
+    scores = scores.agg(F.collect_list(F.struct(*label, "score")).alias("scores"))
+    return rows.join(scores, "_row", "left").drop("_row").withColumn(
         "scores", F.coalesce("scores", F.array()).cast(_SCORE_TYPE)
     )
 
@@ -239,46 +245,46 @@ def top_labels(scores: Column, axis: Axis) -> Column:
 
 
 def decide(df: DataFrame, axes: tuple[Axis, ...] = AXES) -> DataFrame:
-    """Replace ``scores`` by one label column per axis; multi-label as ``a;b``."""
-    for axis in axes:
-        scores = F.col("scores")
-        value = F.array_join(top_labels(scores, axis), ";") if axis.multi else best_label(scores, axis)
-        df = df.withColumn(axis.family, value)
-    return df.drop("scores")
+    """Replace ``scores`` by one label column per axis; multi-label as ``a;b``.
+
+    The labels leave a row as one generated struct, so that a filter on them
+    stays above the rule instead of repeating it.
+    """
+    scores = F.col("scores")
+    labels = [
+        (F.array_join(top_labels(scores, axis), ";") if axis.multi else best_label(scores, axis)).alias(axis.family)
+        for axis in axes
+    ]
+    names = [axis.family for axis in axes]
+    kept = [c for c in df.columns if c != "scores"]
+    decided = df.select(*[c for c in kept if c not in names], F.inline(F.array(F.struct(*labels))))
+    return decided.select(*kept, *[n for n in names if n not in kept])
 
 
-def build_matcher(lexicon: DataFrame, limit: int = INLINE_TERMS) -> TermMatcher | None:
-    """A matcher, or ``None`` when the lexicon holds more terms than ``limit``."""
-    rows = weigh_terms(lexicon).limit(limit + 1).collect()
-    return TermMatcher.from_rows(rows) if len(rows) <= limit else None
+def build_matcher(lexicon: DataFrame) -> TermMatcher:
+    """A matcher of all terms of a lexicon, whatever their number."""
+    return TermMatcher.from_rows(weigh_terms(lexicon).collect())
 
 
-def score_corpus(
-    df: DataFrame,
-    lexicon: DataFrame,
-    text_col: str = "text",
-    id_col: str = "id",
-    inline_terms: int = INLINE_TERMS,
-) -> DataFrame:
-    """Add ``scores`` the inline way, or the joined way for a large lexicon."""
+def score_corpus(df: DataFrame, lexicon: DataFrame, text_col: str = "text", inline_terms: int = INLINE_TERMS) -> DataFrame:
+    """Add ``scores``, by the inline plan or, above ``inline_terms``, the joined one; both score alike."""
     require_columns(df, [text_col], "corpus")
-    matcher = build_matcher(lexicon, inline_terms)
-    if matcher is not None:
-        return score_inline(df, matcher, text_col)
-    require_columns(df, [id_col], "corpus")
-    return score_joined(df, weigh_terms(lexicon), text_col, id_col)
+    terms = weigh_terms(lexicon)
+    rows = terms.limit(inline_terms + 1).collect()
+    if len(rows) <= inline_terms:
+        return score_inline(df, TermMatcher.from_rows(rows), text_col)
+    return score_joined(df, terms, text_col)
 
 
 def label_corpus(
     df: DataFrame,
     lexicon: DataFrame,
     text_col: str = "text",
-    id_col: str = "id",
     axes: tuple[Axis, ...] = AXES,
     inline_terms: int = INLINE_TERMS,
 ) -> DataFrame:
     """Fill the label columns of a corpus, adding them where absent; other columns stay."""
-    return decide(score_corpus(df, lexicon, text_col, id_col, inline_terms), axes)
+    return decide(score_corpus(df, lexicon, text_col, inline_terms), axes)
 
 
 def score_rows(scored: DataFrame, id_col: str = "id") -> DataFrame:

@@ -13,30 +13,30 @@ from pyspark.sql import functions as F
 from chorale.session import spread
 
 PHRASES = (
-    "Bien joué @Équipe_1, BRAVO ! Merci à tous 😀",
-    "Pourquoi ??? Est-ce que la loi passe ? Voir https://t.co/Ab?x=1 vite",
-    "Quelle honte... c’est un scandale, un SCANDALE !!!",
-    "Le député dit non : grève demain, grève partout",
-    "selon le rapport, donc il faut agir",
-    "lol quelle surprise, mdr",
-    "L’onu et l’Europe au sommet de l’OTAN ! Traité signé",
-    "bac 2024 : lycée et école en fête ❤️",
-    "awwwwesome awww www.lemonde.fr génial",
-    "“Merci” mais quelle honte",
-    "Comment ? Combien ? parce que donc puisque cependant",
-    "comment et donc",
-    "annonce et ironie",
-    "police, justice, Europe, onu",
-    "n'est-ce pas bien sûr que j'adore ? !",
-    "!?!? ... ok",
-    "bienvenue aux votes, ministère, lolita",
-    "garde à vue pour un gardien de la paix, état-major muet",
-    "J’en ai marre, ras-le-bol, c'est nul",
-    "dernière minute: chiffres, communiqué, rapport ! selon nous",
+    "Bel effort @Équipe_1, CHOUETTE ! Quel régal pour tous 😀",
+    "Lequel ??? A-t-on idée de l'horaire ¿ Voir https://t.co/Ab?x=1 vite",
+    "Quel gâchis... c’est pénible, PÉNIBLE !!!",
+    "L'élu local dit non : cortège demain, cortège partout",
+    "d'abord le relevé, ensuite le bulletin",
+    "héhé quelle aubaine, hehe",
+    "La douane et l’escale à la ligne d’HORIZON ! Passeport signé",
+    "talus 2024 : préau et cartable en fête ❤️",
+    "awwwwesome awww www.lemonde.fr épatant",
+    "“Ravi” mais quel gâchis",
+    "Lequel ¿ À quand ¿ étant donné ensuite de ce fait",
+    "lequel et ensuite",
+    "relevé et oh joie",
+    "casque, alarme, escale, douane",
+    "a-t-on tu parles que j'approuve ¿ 5 %",
+    "%¿%¿ ... ok",
+    "ravissant aux urnes, quartiers, horaires",
+    "poste de garde pour un sous-brigadier, conseil de quartier muet",
+    "J’en peux plus, ras-la-casquette, c'est mal fichu",
+    "bon à noter: 12 %, bulletin, mémo ! d'abord nous",
     "",
-    "49.3 au vote de l’assemblée nationale; 149.3 non",
-    "est-ce bien ? est-ce que c'est bien joué ? mdr lol",
-    "@ école_@lycée @bac x@y.fr diplôme",
+    "12.5 à l’urne du conseil de quartier; 112.5 non",
+    "a-t-on ravi ¿ a-t-on idée chouette ¿ c'est malin héhé",
+    "@ préau_@dictée @cartable x@y.fr cahier de textes",
 )
 
 

@@ -52,7 +52,7 @@ def _lexicon() -> str:
         f"({_quote(family)}, {_quote(label)}, {pos}, {rank}, {_quote(term)})"
         for family, labels in LABEL_RANKS.items()
         for pos, (label, rank) in enumerate(labels.items())
-        for term in DEMO_TERMS[label].split("; ")
+        for term in DEMO_TERMS[label]
     ]
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS v(family, label, pos, prio, term)"
 
@@ -120,7 +120,7 @@ sized AS (SELECT text, length(text) AS chars, len({_words('text')}) AS words FRO
 SELECT '{name}' AS file, count(*) AS totalLines, avg(chars) AS averageTextLength,
        min(chars) AS minTextLength, max(chars) AS maxTextLength, min(words) AS minWord, max(words) AS maxWord,
        avg(words) AS averageWordsPerText, count(*) FILTER (WHERE words = 0) AS emptyTexts,
-       round(avg(CASE WHEN words = 0 THEN 1.0 ELSE 0.0 END) * 100, 2) AS emptyTextsPercentage,
+       round_even(avg(CASE WHEN words = 0 THEN 1.0 ELSE 0.0 END) * 100, 2) AS emptyTextsPercentage,
        (SELECT count(DISTINCT w) FROM (SELECT unnest({_words('text')}) AS w FROM m)) AS vocabSize
 FROM sized"""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,12 +26,15 @@ def build_session(app_name: str = "chorale", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local runs, tests) a temporary folder
-    stands in for it, and is then set so later calls agree.
+    A local session without one gets a temporary folder, which is then set so
+    later calls agree. On a cluster its absence is an error: no other machine
+    could read what one writes to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chorale-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -82,3 +82,22 @@ def test_small_inputs_are_spread_and_fine_ones_left_alone(spark):
 
 def test_shared_dir_is_stable(spark):
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    from chorale.session import shared_dir
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs://name/folder"}
+    assert shared_dir(Session()) == "hdfs://name/folder"

@@ -12,7 +12,6 @@ from chorale.operators.lexicon import (
     LEXICON_SCHEMA,
     demo_lexicon,
     lexicon_frame,
-    lexicon_report,
     read_lexicon,
     weigh_terms,
 )
@@ -28,10 +27,8 @@ def label(spark, texts, terms=None, **kwargs):
 
 
 def test_repeated_spellings_add_weight(spark):
-    rows = weigh_terms(lexicon_frame(spark, {"Politique": ["grève", "greve", " ", "vote"]})).collect()
-    assert {r.term: r.weight for r in rows} == {"greve": 2, "vote": 1}
-    report = lexicon_report(demo_lexicon(spark)).where("label = 'Politique'").first()
-    assert (report.entries, report.terms, report.repeated) == (9, 8, 1)
+    rows = weigh_terms(lexicon_frame(spark, {"Politique": ["cortège", "cortege", " ", "urne"]})).collect()
+    assert {r.term: r.weight for r in rows} == {"cortege": 2, "urne": 1}
 
 
 def scores_of(spark, pairs, axis):
@@ -78,10 +75,8 @@ def test_single_choice(spark, axis, pairs, expected):
 
 
 def test_texts(spark):
-    assert label(
-        spark,
-        [None, "", "est-ce que", "bienvenue", "grève", "bac", "Bien JOUÉ", "@bac", "merci honte", "49.3", "149.3"],
-    ) == [
+    texts = [None, "", "a-t-on idée", "ravissant", "cortège", "talus", "Bel EFFORT", "@talus", "ravi pénible", "12.5", "112.5"]
+    assert label(spark, texts) == [
         ("Neutre", "Autres", "Autre"),
         ("Neutre", "Autres", "Autre"),
         ("Neutre", "Question", "Autre"),
@@ -110,13 +105,12 @@ TRICKY = {
     "Favorable": ["a", "a b", "a-b", "b a b", "c", "aa"],
     "Défavorable": ["?", "!", "b", "a b c", "b_c"],
     "Question": ["a.b", "ab", "a", "a", "?!"],
-    "Politique": ["c a", "c c", "#a", "a'", "1", "b 1"],
+    "Politique": ["c a", "c c", "#a", "a'", "1", "b 1", "..", "ha ha"],
 }
 
 
-@pytest.mark.parametrize("terms,joined", [(TRICKY, False), (DEMO_TERMS, False), (DEMO_TERMS, True)])
+@pytest.mark.parametrize("terms,joined", [(TRICKY, False), (TRICKY, True), (DEMO_TERMS, False), (DEMO_TERMS, True)])
 def test_scores_equal_one_pattern_per_term(spark, terms, joined):
-    terms = {k: v.split("; ") if isinstance(v, str) else v for k, v in terms.items()}
     rng = random.Random(7)
     pool = sorted({t for v in terms.values() for t in v}) + list("abc1_ ?!.-'#é😀𝐀") + [" ", " "]
     texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randint(0, 14))) for _ in range(400)]
@@ -137,11 +131,25 @@ def test_scores_equal_one_pattern_per_term(spark, terms, joined):
     assert got == expected
 
 
-def test_joined_way_keeps_every_row_and_rejects_terms_it_cannot_span(spark):
-    texts = ["", None, "rien", "merci"]
-    assert label(spark, texts, inline_terms=0) == label(spark, texts)
-    with pytest.raises(ValueError, match="span"):
-        label(spark, ["x"], {"Favorable": ["#a"]}, inline_terms=0)
+def test_both_plans_agree_on_odd_terms_and_repeated_ids(spark):
+    terms = {"Favorable": ["ha ha", "#lol", "merci"], "Question": ["..", "rien"], "Politique": ["a.b"]}
+    texts = ["", None, "rien", "merci", "ha ha ha", "#lol #LOL", "a.b.b .. x", "rien"]
+    assert label(spark, texts, terms, inline_terms=0) == label(spark, texts, terms)
+    repeated = spark.createDataFrame([(1, "rien"), (1, "merci"), (1, "rien")], "id long, text string")
+    lexicon = lexicon_frame(spark, terms)
+    for limit in (0, 10):
+        scored = labeling.score_rows(labeling.score_corpus(repeated, lexicon, inline_terms=limit))
+        assert sorted((r.label, r.score) for r in scored.collect()) == [("Favorable", 1), ("Question", 1), ("Question", 1)]
+
+
+def test_a_filter_on_a_label_does_not_repeat_the_rule(spark):
+    df = labeling.label_corpus(spark.createDataFrame([(1, "ravi")], "id long, text string"), demo_lexicon(spark))
+
+    def translations(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+
+    assert translations(df.where("polarite = 'Favorable'")) == translations(df)
+    assert df.where("polarite = 'Favorable'").count() == 1
 
 
 def test_labelling_is_a_projection_without_a_shuffle(spark, tmp_path):
@@ -151,9 +159,9 @@ def test_labelling_is_a_projection_without_a_shuffle(spark, tmp_path):
 
 
 def test_existing_columns_stay(spark):
-    df = spark.createDataFrame([(1, "merci", "x", "")], "id long, text string, extra string, ton string")
+    df = spark.createDataFrame([(1, "ravi", "x", "")], "id long, text string, extra string, ton string")
     row = labeling.label_corpus(df, demo_lexicon(spark)).first()
-    assert (row.extra, row.text, row.polarite, row.ton) == ("x", "merci", "Favorable", "Autres")
+    assert (row.extra, row.text, row.polarite, row.ton) == ("x", "ravi", "Favorable", "Autres")
 
 
 def test_distribution_counts_joined_tones(spark):
@@ -173,7 +181,8 @@ def test_distribution_counts_joined_tones(spark):
 
 def test_lexicon_file(spark, tmp_path):
     path = str(tmp_path / "lexicon")
-    demo_lexicon(spark).write.option("header", True).csv(path)
+    shuffled = demo_lexicon(spark).select("term", "priority", "label", "family", "label_pos")
+    shuffled.write.option("header", True).option("escape", '"').csv(path)
     again = read_lexicon(spark, path)
     assert again.schema.fieldNames() == LEXICON_SCHEMA.fieldNames()
     assert sorted(again.collect()) == sorted(demo_lexicon(spark).collect())

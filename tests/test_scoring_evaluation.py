@@ -121,3 +121,10 @@ def test_multilabel_report(spark):
     assert got["micro avg"] == pytest.approx((2 / 3, 0.5, 4 / 7, 4))
     assert got["macro avg"] == pytest.approx((2 / 3, 1 / 3, 4 / 9, 4))
     assert got["samples avg"] == pytest.approx((1.5 / 4, 1.5 / 4, (2 / 3 * 2) / 4, 4))
+
+
+def test_report_holds_classes_without_a_row(spark):
+    df = spark.createDataFrame([(["a"], ["a"])], "t array<string>, p array<string>")
+    rows = {r.label: r for r in evaluation.multilabel_report(df, "t", "p", ["a", "b"]).collect()}
+    assert (rows["b"].f1, rows["b"].support) == (0.0, 0)
+    assert rows["macro avg"].f1 == 0.5 and rows["micro avg"].f1 == 1.0

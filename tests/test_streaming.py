@@ -5,7 +5,7 @@ from chorale.operators.scoring import assemble_predictions
 from chorale.operators.tfidf import TfidfModel, TfidfParams
 from chorale.streaming import messages as stream
 
-TEXTS = ["merci !", "quelle honte", "pourquoi ? comment", "rien", None, "la loi, le vote"]
+TEXTS = ["ravi !", "quel gâchis", "lequel ¿ d'où", "rien", None, "le bulletin, le vote"]
 
 
 def put(spark, path, texts, start):
@@ -52,7 +52,7 @@ def test_running_counts(spark, tmp_path):
 
 
 def test_predictions_equal_batch(spark, tmp_path):
-    texts = ["merci bien", "quelle honte", "bravo", "nul nul"] * 20
+    texts = ["ravi", "quel gâchis", "chouette", "pénible pénible"] * 20
     df = spark.createDataFrame(
         [(i, t, "Favorable" if i % 2 == 0 else "Défavorable", "Autres" if i % 4 else "Question", "Autre" if i % 3 else "Politique") for i, t in enumerate(texts)],
         "id long, text string, polarite string, ton string, target string",
