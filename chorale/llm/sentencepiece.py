@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
@@ -65,8 +65,8 @@ class Vocabulary:
     unknown: int = 0
     #: Every start of a piece, with the piece's score or, of a mere start, None.
     starts: dict[str, int | None] = field(default_factory=dict)
-    memory: dict[str, Solved] = field(default_factory=dict)
-    older: dict[str, Solved] = field(default_factory=dict)
+    memory: dict[str, list[int]] = field(default_factory=dict)
+    totals: dict[str, int] = field(default_factory=dict)
     texts: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -95,7 +95,7 @@ class Vocabulary:
         )
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memory": {}, "older": {}}
+        return self.__dict__ | {"memory": {}, "totals": {}}
 
     def paths(self, text: str, entry: list[int], stop: int) -> tuple[list[int], list[int]]:
         """Best score and last start of every position, from ``entry`` scores, by pieces that start before ``stop``."""
@@ -195,7 +195,7 @@ class Vocabulary:
                 _, back = self.paths(s, [0], len(s))
                 out[s] = self.trace(s, back, len(s))[0], total
             else:
-                out[s] = ids_[skip:], total
+                out[s] = tuple(ids_[skip:]), total
 
     @cached_property
     def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,21 +216,14 @@ class Vocabulary:
         keys = np.array([k for k, *_ in found], np.int64)
         return keys, np.array([NEVER if s is None else s for _, s, _ in found], np.int64), np.array([i for *_, i in found], np.int64)
 
-    def recall(self, stretches: list[str]) -> dict[str, Solved]:
-        """Ids and score of each stretch between two cuts; the solutions are remembered."""
-        out, new = {}, []
-        for s in set(stretches):
-            known = self.memory.get(s) or self.older.get(s)
-            if known is None:
-                new.append(s)
-            else:
-                out[s] = known
-        solved = self.solve(new)
-        out |= solved
-        if len(self.memory) >= REMEMBERED:
-            self.memory, self.older = {}, self.memory
-        self.memory.update((s, x) for s, x in solved.items() if len(s) <= WIDE)
-        return out
+    def learn(self, stretches: Iterable[str]) -> None:
+        """See to it that all these stretches are remembered, with their ids and score."""
+        asked = set(stretches)
+        new = asked.difference(self.memory)
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory, self.totals, new = {}, {}, asked
+        for s, (ids, total) in self.solve(list(new)).items():
+            self.memory[s], self.totals[s] = ids, total
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text in one piece."""
@@ -239,8 +232,8 @@ class Vocabulary:
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of whole texts."""
         cut = [(STRETCHES.findall(normalize(t)) if self.cuts else [normalize(t)]) if t else [] for t in texts]
-        known = self.recall([s for parts in cut for s in parts])
-        return [list(chain.from_iterable([known[s][0] for s in parts])) for parts in cut]
+        self.learn(chain.from_iterable(cut))
+        return [list(chain.from_iterable(map(self.memory.__getitem__, parts))) for parts in cut]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that form no character become the replacement character."""
@@ -272,8 +265,13 @@ class Vocabulary:
             last -= 1
         return first, last
 
-    def transfer(self, chunk: str, size: int) -> np.ndarray:
-        """The chunk's matrix: best score from each entry state (row) to each exit state (column)."""
+    def transfer(self, chunk: str, size: int) -> tuple[np.ndarray, str, str, list[int]]:
+        """The chunk's matrix: best score from each entry state (row) to each exit state (column).
+
+        Also what the states leave open: the text before the first cut, the
+        text from the last cut on, and the ids in between, which all paths
+        share. Without a cut the first text is the whole chunk.
+        """
         out = np.full((self.reach, self.reach), NEVER, np.int64)
         first, last = self._ends(chunk, size)
         if first < 0:
@@ -282,40 +280,41 @@ class Vocabulary:
                 out[i] = best[size : size + self.reach] if i < size else out[i]
                 if i >= size:
                     out[i, i - size] = 0
-            return out
+            return out, chunk, "", []
         parts = STRETCHES.findall(chunk[first:last])
-        known = self.recall(parts)
-        middle = sum(known[s][1] for s in parts)
+        self.learn(parts)
+        middle = sum(map(self.totals.__getitem__, parts))
         tail = np.array(self.paths(chunk[last:], [0], size - last)[0][size - last : size - last + self.reach])
         for i in range(min(first, self.reach - 1) + 1):
             head = self.paths(chunk[:first], [NEVER] * i + [0], first)[0][first]
             if head > NEVER // 2:
                 out[i] = np.where(tail > NEVER // 2, tail + head + middle, NEVER)
-        return out
-
-    def entries(self, chunk: str, size: int, reached: list[int]) -> list[int]:
-        """For each exit state, the entry state that its best path comes from, given the score of each entry state."""
-        first, _ = self._ends(chunk, size)
-        if first >= 0:
-            _, came = self.paths(chunk[:first], list(reached[: first + 1]), first)
-            return [self.trace(chunk[:first], came, first)[1]] * self.reach
-        _, came = self.paths(chunk, list(reached), size)
-        return [self.trace(chunk, came, size + j)[1] for j in range(self.reach)]
-
-    def pieces_of(self, chunk: str, size: int, reached: list[int], leave: int) -> list[int]:
-        """Ids of the pieces that start in the chunk on the best path to exit state ``leave``."""
-        first, last = self._ends(chunk, size)
-        if first < 0:
-            _, came = self.paths(chunk, list(reached), size)
-            return self.trace(chunk, came, size + leave)[0]
-        _, came = self.paths(chunk[:first], list(reached[: first + 1]), first)
-        out = self.trace(chunk[:first], came, first)[0]
-        parts = STRETCHES.findall(chunk[first:last])
-        known = self.recall(parts)
-        for s in parts:
-            out += known[s][0]
-        _, came = self.paths(chunk[last:], [0], size - last)
-        return out + self.trace(chunk[last:], came, size - last + leave)[0]
+        return out, chunk[:first], chunk[last:], list(chain.from_iterable(map(self.memory.__getitem__, parts)))
+
+    def entries(self, head: str, closed: bool, size: int, reached: list[int]) -> list[int]:
+        """For each exit state, the entry state that its best path comes from, given the score of each entry state.
+
+        ``closed``: the head ends at a cut, so all exit states share its path.
+        """
+        stop = len(head) if closed else size
+        _, came = self.paths(head, reached[: stop + 1] if closed else reached, stop)
+        if closed:
+            return [self.trace(head, came, stop)[1]] * self.reach
+        return [self.trace(head, came, size + j)[1] for j in range(self.reach)]
+
+    def spell(self, head: str, tail: str, middle: list[int], closed: bool, size: int, reached: list[int], ahead: int, leave: int) -> list[int]:
+        """Ids of the pieces that start in the chunk on the best path to exit state ``leave``.
+
+        ``ahead``: characters of the tail that belong to the next chunk.
+        """
+        stop = len(head) if closed else size
+        _, came = self.paths(head, reached[: stop + 1] if closed else reached, stop)
+        if not closed:
+            return self.trace(head, came, size + leave)[0]
+        out = self.trace(head, came, stop)[0] + middle
+        own = len(tail) - ahead
+        _, came = self.paths(tail, [0], own)
+        return out + self.trace(tail, came, own + leave)[0]
 
 
 def normalize(text: str) -> str:
@@ -348,47 +347,64 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, length: int) -> DataF
 
     key = "text_hash long, n long"
     chunks = texts.mapInPandas(cut, f"{key}, k int, size int, chunk string").repartition("text_hash", "n", "k")
-    chunks = materialize(chunks, "chunks")
 
     def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own = [vocabulary.transfer(c, s).ravel() for c, s in zip(pdf["chunk"], pdf["size"], strict=True)]
-            yield pdf[["text_hash", "n", "k"]].assign(matrix=own)
+            rows = []
+            for chunk, size in zip(pdf["chunk"], pdf["size"], strict=True):
+                matrix, head, tail, middle = vocabulary.transfer(chunk, size)
+                rows.append((matrix.ravel(), head, tail, middle, tail != "" or len(head) < len(chunk), len(chunk) - size))
+            own = pd.DataFrame(rows, columns=["matrix", "head", "tail", "middle", "closed", "ahead"], index=pdf.index)
+            yield pd.concat([pdf[["text_hash", "n", "k", "size"]], own], axis=1)
+
+    solved = chunks.mapInPandas(
+        transfer, f"{key}, k int, size int, matrix array<long>, head string, tail string, middle array<int>, closed boolean, ahead int"
+    )
+    solved = materialize(solved, "chunks")
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text_hash, n, parts in zip(pdf["text_hash"], pdf["n"], pdf["parts"], strict=True):
+                products = compose(np.stack([p["matrix"] for p in parts]).reshape(-1, reach, reach))
+                start = np.full(reach, NEVER, np.int64)
+                start[0] = 0
+                reached = [start, *products[:-1, 0, :]]
+                yield pd.DataFrame({"text_hash": text_hash, "n": n, "k": [p["k"] for p in parts], "reached": reached})
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        products = compose(np.stack(pdf["matrix"].to_list()).reshape(-1, reach, reach))
-        start = np.full(reach, NEVER, np.int64)
-        start[0] = 0
-        return pdf[["text_hash", "n", "k"]].assign(reached=[start, *products[:-1, 0, :]])
+    def parts(rows: DataFrame, value: str) -> DataFrame:
+        return rows.groupBy("text_hash", "n").agg(F.sort_array(F.collect_list(F.struct("k", value))).alias("parts"))
 
-    reached = chunks.mapInPandas(transfer, f"{key}, k int, matrix array<long>").groupBy("text_hash", "n")
-    reached = materialize(reached.applyInPandas(scan, f"{key}, k int, reached array<long>"), "reached")
-    joined = chunks.join(reached, ["text_hash", "n", "k"])
+    reached = parts(solved, "matrix").mapInPandas(scan, f"{key}, k int, reached array<long>")
+    reached = materialize(reached, "reached")
+    ends = solved.drop("matrix").join(reached, ["text_hash", "n", "k"])
 
     def come(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own = [vocabulary.entries(c, s, list(map(int, r))) for c, s, r in zip(pdf["chunk"], pdf["size"], pdf["reached"], strict=True)]
-            yield pdf[["text_hash", "n", "k"]].assign(entry=own)
+            own = zip(pdf["head"], pdf["closed"], pdf["size"], pdf["reached"], strict=True)
+            yield pdf[["text_hash", "n", "k"]].assign(entry=[vocabulary.entries(h, c, s, r.tolist()) for h, c, s, r in own])
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k", ascending=False)
-        leave, out = 0, []
-        for entry in pdf["entry"]:
-            out.append(leave)
-            leave = int(entry[leave])
-        return pdf[["text_hash", "n", "k"]].assign(leave=out)
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text_hash, n, own in zip(pdf["text_hash"], pdf["n"], pdf["parts"], strict=True):
+                leaves, leave = [], 0
+                for p in reversed(own):
+                    leaves.append(leave)
+                    leave = int(p["entry"][leave])
+                yield pd.DataFrame({"text_hash": text_hash, "n": n, "k": [p["k"] for p in own], "leave": leaves[::-1]})
 
-    leaves = joined.mapInPandas(come, f"{key}, k int, entry array<int>").groupBy("text_hash", "n")
-    leaves = materialize(leaves.applyInPandas(follow, f"{key}, k int, leave int"), "leaves")
+    came = ends.drop("tail", "middle").mapInPandas(come, f"{key}, k int, entry array<int>")
+    leaves = materialize(parts(came, "entry").mapInPandas(follow, f"{key}, k int, leave int"), "leaves")
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own = zip(pdf["chunk"], pdf["size"], pdf["reached"], pdf["leave"], strict=True)
-            yield pdf[["text_hash", "n", "k"]].assign(ids=[vocabulary.pieces_of(c, s, list(map(int, r)), x) for c, s, r, x in own])
-
-    spelled = joined.join(leaves, ["text_hash", "n", "k"]).mapInPandas(spell, f"{key}, k int, ids array<int>")
-    whole = spelled.groupBy("text_hash", "n").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("parts"))
+            ids = [
+                vocabulary.spell(r.head, r.tail, r.middle.tolist(), r.closed, r.size, r.reached.tolist(), r.ahead, r.leave)
+                for r in pdf.itertuples(index=False)
+            ]
+            yield pdf[["text_hash", "n", "k"]].assign(ids=ids)
+
+    spelled = ends.join(leaves, ["text_hash", "n", "k"]).mapInPandas(spell, f"{key}, k int, ids array<int>")
+    whole = parts(spelled, "ids")
     return materialize(whole.select("text_hash", "n", F.flatten("parts.ids").alias("ids")), "long-ids")
 
 
