@@ -149,6 +149,18 @@ def term_counts(spark, sf_dir):
     return tfidf.term_counts(turns(spark, sf_dir))
 
 
+def tfidf_weights_joined(spark, sf_dir):
+    """The same weights by the plan for vocabularies of any size."""
+    rows = _space(spark, sf_dir).weight_rows(turns(spark, sf_dir), inline_vocabulary=0)
+    return rows.withColumn("weight", F.round("weight", 6))
+
+
+def filtered_labels(spark, sf_dir):
+    """Messages of one polarity: a filter on a label column."""
+    labelled = _labelled(spark, sf_dir).where("polarite = 'Favorable'")
+    return labelled.select("id", "polarite", "ton", "target")
+
+
 def ngram_totals(spark, sf_dir):
     lines = documents(spark, sf_dir).select("id", spaced_line("text").alias("line"))
     grams = lines.select("id", char_ngrams("line").alias("grams"))
@@ -449,11 +461,13 @@ QUERIES: dict[str, Query] = {
         label_scores_joined,
         labelled_messages,
         labelled_turns,
+        filtered_labels,
         label_distribution,
         term_counts,
         ngram_totals,
         tfidf_vocabulary,
         tfidf_weights,
+        tfidf_weights_joined,
         tfidf_profile,
         tfidf_vectors,
         stored_vocabulary,

@@ -7,12 +7,15 @@ windows over everything.
 
 from __future__ import annotations
 
-from chorale.functions.text import SPACE, WORD, emoji_class
+from chorale.functions.text import emoji_class
 from chorale.operators.lexicon import DEMO_TERMS, LABEL_RANKS
 from chorale.plans.catalog import CLASS_COUNT, GOLD_SQL, PREDICTED_SQL
 from chorale.plans.inputs import DOCUMENTS_SQL, TURNS_SQL, messages_sql
 
-NON_SPACE = SPACE.replace("[", "[^", 1)
+# Spelled out here, so that a wrong class in the code under test shows.
+WORD = r"[\p{L}\p{N}_]"
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+NON_SPACE = r"[^\s\x1c-\x1f\x85\p{Z}]"
 SPLIT_SPACE = SPACE + "+"
 
 
@@ -271,6 +274,7 @@ ORACLES: dict[str, str] = {
     "label_scores_joined": f"WITH {_scores(MESSAGES)} SELECT id, family, label, score FROM scores",
     "labelled_messages": f"WITH {_labels(MESSAGES)} SELECT * FROM labelled",
     "labelled_turns": f"WITH {_labels(TURNS_SQL)} SELECT * FROM labelled",
+    "filtered_labels": f"WITH {_labels(MESSAGES)} SELECT * FROM labelled WHERE polarite = 'Favorable'",
     "label_distribution": _distribution(MESSAGES),
     "term_counts": _term_counts(TURNS_SQL),
     "ngram_totals": (
@@ -281,6 +285,7 @@ ORACLES: dict[str, str] = {
         f"WITH {_vocabulary(DOCUMENTS_SQL)} SELECT idx, term, df, ctf, round(idf, 6) AS idf FROM vocabulary"
     ),
     "tfidf_weights": f"{_weights(TURNS_SQL)} SELECT id, term, round(weight, 6) AS weight FROM weights",
+    "tfidf_weights_joined": f"{_weights(TURNS_SQL)} SELECT id, term, round(weight, 6) AS weight FROM weights",
     "tfidf_profile": (
         f"{_weights(DOCUMENTS_SQL)} SELECT d.id, count(weight) AS terms, "
         "round(coalesce(sum(weight), 0), 6) AS total, round(coalesce(max(weight), 0), 6) AS highest "
