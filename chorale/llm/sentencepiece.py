@@ -42,7 +42,7 @@ from chorale.llm.common import materialize, small_batches, unclashed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer texts are split. Stretches that a worker remembers.
-CHUNK, REMEMBERED = 16_384, 300_000
+CHUNK, REMEMBERED = 16_384, 500_000
 MARK = "▁"
 SCALE, PENALTY = 1000, 10
 NEVER = -(1 << 60)
@@ -265,6 +265,11 @@ class Vocabulary:
             last -= 1
         return first, last
 
+    def inner(self, chunk: str, size: int) -> list[str]:
+        """The stretches between the first and the last cut of a chunk."""
+        first, last = self._ends(chunk, size)
+        return STRETCHES.findall(chunk[first:last]) if first >= 0 else []
+
     def transfer(self, chunk: str, size: int) -> tuple[np.ndarray, str, str, list[int]]:
         """The chunk's matrix: best score from each entry state (row) to each exit state (column).
 
@@ -281,7 +286,7 @@ class Vocabulary:
                 if i >= size:
                     out[i, i - size] = 0
             return out, chunk, "", []
-        parts = STRETCHES.findall(chunk[first:last])
+        parts = self.inner(chunk, size)
         self.learn(parts)
         middle = sum(map(self.totals.__getitem__, parts))
         tail = np.array(self.paths(chunk[last:], [0], size - last)[0][size - last : size - last + self.reach])
@@ -351,6 +356,7 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, length: int) -> DataF
     def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
+            vocabulary.learn(s for c, size in zip(pdf["chunk"], pdf["size"], strict=True) for s in vocabulary.inner(c, size))
             for chunk, size in zip(pdf["chunk"], pdf["size"], strict=True):
                 matrix, head, tail, middle = vocabulary.transfer(chunk, size)
                 rows.append((matrix.ravel(), head, tail, middle, tail != "" or len(head) < len(chunk), len(chunk) - size))
@@ -414,7 +420,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
     Null and empty texts have no ids. Equal long texts are encoded once.
     """
     vocabulary = vocabulary or Vocabulary.load()
-    small_batches(documents.sparkSession, 500)
+    small_batches(documents.sparkSession, 1_000)
     chunk = chunk or CHUNK
     source = unclashed(documents, [out])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields]
@@ -439,7 +445,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each list of ids added; null ids give the empty text."""
     vocabulary = vocabulary or Vocabulary.load()
-    small_batches(encoded.sparkSession, 500)
+    small_batches(encoded.sparkSession, 1_000)
 
     @F.pandas_udf("string")
     def spell(column: pd.Series) -> pd.Series:
