@@ -31,7 +31,7 @@ PERCENT, BANDS, ROWS = 75, 32, 4
 #: Signature positions compared between two decisions, and the chance a true pair is dropped at one.
 BATCH, MISS = 16, 1e-6
 #: Members of a bucket compared in one piece.
-BLOCK = 128
+BLOCK = 512
 #: Signatures and shingles handled at once, for bounded memory on long texts.
 PIECE = 8_192
 HASHES = BANDS * ROWS
