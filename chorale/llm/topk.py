@@ -119,7 +119,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, vec_id: str = "vec_id
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do null ids. A query meets
     the vectors of its own length, except those with its own id; a repeated id stands for the equal rows that carry
-    it, once. Fewer than k candidates are all returned. An empty table gives an empty result.
+    it, once. Fewer than k candidates are all returned. Scores must fit 64 bits. An empty table gives an empty result.
     """
     small_batches(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), whole_numbers(F.col(vector)).alias("vector"), is_query.alias("asked"))
