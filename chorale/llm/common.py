@@ -12,7 +12,7 @@ from chorale.session import materialize, scratch_path
 __all__ = ["connected_components", "materialize", "scratch_path", "small_batches", "table"]
 
 #: Rows and bytes of text handed to a Python worker at once.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 * 1024 * 1024
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -42,7 +42,7 @@ from chorale.llm.common import materialize, small_batches, unclashed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a chunk; longer texts are split. Stretches that a worker remembers.
-CHUNK, REMEMBERED = 16_384, 500_000
+CHUNK, REMEMBERED = 16_384, 150_000
 MARK = "▁"
 SCALE, PENALTY = 1000, 10
 NEVER = -(1 << 60)
@@ -420,7 +420,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
     Null and empty texts have no ids. Equal long texts are encoded once.
     """
     vocabulary = vocabulary or Vocabulary.load()
-    small_batches(documents.sparkSession, 1_000)
+    small_batches(documents.sparkSession, 250)
     chunk = chunk or CHUNK
     source = unclashed(documents, [out])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields]
@@ -445,7 +445,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each list of ids added; null ids give the empty text."""
     vocabulary = vocabulary or Vocabulary.load()
-    small_batches(encoded.sparkSession, 1_000)
+    small_batches(encoded.sparkSession, 250)
 
     @F.pandas_udf("string")
     def spell(column: pd.Series) -> pd.Series:
