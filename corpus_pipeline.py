@@ -33,9 +33,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of every secret."""
     found = scan_secrets(docs.select(*COLUMNS))
-    text = redact(F.col("text"), F.col("secrets"))
-    length = F.when(F.size("secrets") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return found.select("doc_id", text.alias("text"), "lang", "source", length.alias("n_chars"))
+    masked = found.withColumn("masked", redact(F.col("text"), F.col("secrets")))
+    length = F.when(F.size("secrets") > 0, F.length("masked").cast("long")).otherwise(F.col("n_chars"))
+    return masked.select("doc_id", F.col("masked").alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
