@@ -8,8 +8,12 @@
 4. A list whose every entry reaches the threshold is saturated and grows to ``LONG`` entries.
 5. Audit: a fixed number of vectors, picked by hash, is compared with all vectors. Below ``LEAST_RECALL`` new sort
    orders are drawn and the descent goes on.
-6. Pairs at or above the threshold are links. Where a list of a component is still full, the component's vectors are
-   compared in blocks that only count, so counts are exact however many copies there are; no pairs are written.
+6. Pairs at or above the threshold are links. Where a list of a component is still full, the component is dense: its
+   vectors are compared in blocks that only count, so counts are exact however many copies there are; no pairs are
+   written.
+7. Full lists cannot show links from one dense component to another. The blocks of all dense components are balls
+   around their means; two blocks of different components meet unless the balls are too far apart for a link. Meetings
+   count links and join their components.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ ORDERS, WINDOW, TAKEN = 6, 64, 6
 ROUNDS, SETTLED, DRAWS = 3, 0.01, 4
 #: Vectors of the audit, and the recall it asks for. Vectors of a counting block.
 AUDITED, LEAST_RECALL, BLOCK = 256, 0.99, 512
+#: Balls compared at a time, and what rounding adds to an angle at the most.
+BALLS, SLACK = 1_024, 1e-6
 BATCH = 1_000
 
 
@@ -174,25 +180,111 @@ def _audit(nodes: DataFrame, threshold: float) -> DataFrame:
     return nodes.mapInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def _link_counts(edges: DataFrame, lists: DataFrame, nodes: DataFrame, components: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``links``: copies of other classes linked to each class on an edge."""
+def _balls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The mean direction of each block, and the widest angle to it."""
+    for pdf in batches:
+        centres, radii = [], []
+        for vectors in pdf["vectors"]:
+            units = _units(vectors)
+            centre = units.mean(axis=0)
+            length = np.sqrt(centre @ centre)
+            centre = centre / length if length > 1e-9 else units[0]
+            centres.append(centre.tobytes())
+            radii.append(float(np.arccos(np.clip(units @ centre, -1, 1)).max()))
+        yield pd.DataFrame({"component": pdf["component"], "block": pdf["block"], "width": [len(c) for c in centres], "centre": centres, "radius": radii})
+
+
+def _meetings(threshold: float):
+    """Blocks of different components that are close enough for a link, from one pair of chunks of balls."""
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, j, balls in zip(pdf["i"], pdf["j"], pdf["balls"], strict=True):
+                component, block, chunk = (np.array([b[c] for b in balls], np.int64) for c in ("component", "block", "chunk"))
+                radius = np.array([b["radius"] for b in balls])
+                centres = np.frombuffer(b"".join(b["centre"] for b in balls), np.float64).reshape(len(balls), -1)
+                angle = np.arccos(np.clip(centres @ centres.T, -1, 1))
+                close = angle <= radius[:, None] + radius[None, :] + np.arccos(min(1.0, max(-1.0, threshold))) + SLACK
+                close &= component[:, None] < component[None, :]
+                if i != j:
+                    close &= chunk[:, None] != chunk[None, :]
+                a, b = np.nonzero(close)
+                yield pd.DataFrame({"component": component[a], "block": block[a], "other": component[b], "other_block": block[b]})
+
+    return meet
+
+
+def _crossed(threshold: float):
+    """Copies linked to each member across two blocks of different components."""
+
+    def cross(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for component, other, members in zip(pdf["component"], pdf["other"], pdf["members"], strict=True):
+                node = np.array([m["node"] for m in members], np.int64)
+                copies = np.array([m["copies"] for m in members], np.int64)
+                side = np.array([m["side"] for m in members])
+                units = _units([m["vector"] for m in members])
+                near = (units @ units.T >= threshold) & (side[:, None] != side[None, :])
+                links = near.astype(np.int64) @ copies
+                hit = links > 0
+                yield pd.DataFrame({"component": component, "other": other, "node": node[hit], "links": links[hit]})
+
+    return cross
+
+
+def _blocks(lists: DataFrame, nodes: DataFrame, components: DataFrame, threshold: float) -> DataFrame:
+    """The members of dense components, dealt into blocks."""
     full = lists.where((F.size("entries") >= LONG) & (F.element_at("entries", -1)["similar"] >= threshold)).select("node")
     dense = components.join(full, "node").select("component").distinct()
-    copies = nodes.select("node", "copies")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    listed = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("links"))
-
     inside = components.join(dense, "component")
     sizes = inside.groupBy("component").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     inside = inside.join(sizes, "component").select("component", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks"))
-    inside = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = inside.join(nodes, "node").groupBy("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return inside.join(nodes.select("node", "copies", "vector"), "node")
+
+
+def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
+    """``component``, ``other``, ``node``, ``links``: copies in the other dense component linked to each node."""
+    balls = members.groupBy("component", "block").agg(F.collect_list("vector").alias("vectors"))
+    balls = balls.mapInPandas(_balls, "component long, block int, width int, centre binary, radius double")
+    balls = materialize(balls, "dense-balls")
+    chunks = max(1, -(-balls.count() // BALLS))
+    dealt = balls.withColumn("chunk", F.pmod(F.xxhash64("component", "block"), F.lit(chunks)).cast("int"))
+    dealt = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    dealt = dealt.groupBy("width", F.least("chunk", "beside").alias("i"), F.greatest("chunk", "beside").alias("j"))
+    dealt = dealt.agg(F.collect_list(F.struct("component", "block", "chunk", "centre", "radius")).alias("balls")).drop("width")
+    pairs = materialize(dealt.mapInPandas(_meetings(threshold), "component long, block int, other long, other_block int"), "dense-meetings")
+    key = ["component", "block", "other", "other_block"]
+    own = members.select(F.col("component").alias("c"), F.col("block").alias("b"), "node", "copies", "vector")
+    sides = [
+        pairs.join(own, (F.col(c) == F.col("c")) & (F.col(b) == F.col("b"))).select(*key, F.struct("node", "copies", F.lit(side).alias("side"), "vector").alias("m"))
+        for side, (c, b) in enumerate([("component", "block"), ("other", "other_block")])
+    ]
+    met = sides[0].unionByName(sides[1]).groupBy(*key).agg(F.collect_list("m").alias("members")).select("component", "other", "members")
+    return met.mapInPandas(_crossed(threshold), "component long, other long, node long, links long")
+
+
+def _link_counts(edges: DataFrame, members: DataFrame, nodes: DataFrame, crossed: DataFrame, threshold: float) -> DataFrame:
+    """``node``, ``links``: copies of other classes linked to each class on an edge."""
+    copies = nodes.select("node", "copies")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    listed = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("links"))
+
+    inside = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meeting = inside.groupBy("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     meeting = meeting.agg(F.collect_list(F.struct("node", "copies", "block", "vector")).alias("members")).drop("component")
-    counted = meeting.mapInPandas(_counts(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("counted"))
+    counted = meeting.mapInPandas(_counts(threshold), "node long, links long")
+    counted = counted.unionByName(crossed.select("node", "links")).groupBy("node").agg(F.sum("links").alias("counted"))
     return listed.join(counted, "node", "left").select("node", F.coalesce("counted", "links").alias("links"))
 
 
+def _joined(components: DataFrame, crossed: DataFrame) -> DataFrame:
+    """``components`` with those that links cross made one."""
+    across = crossed.select(F.col("component").alias("a"), F.col("other").alias("b")).distinct()
+    roots = connected_components(across).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return components.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, *, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors``.
 
@@ -231,8 +323,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, *, vec_id: str = "v
                 break
         near = _flat(lists).where(F.col("similar") >= threshold)
         edges = materialize(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-        components = materialize(connected_components(edges), "vector-components")
-        links = materialize(_link_counts(edges, lists, nodes, components, threshold), "links")
+        components = materialize(connected_components(edges), "listed-components")
+        members = materialize(_blocks(lists, nodes, components, threshold), "dense-members")
+        crossed = materialize(_cross_links(members, threshold), "crossed-links")
+        components = materialize(_joined(components, crossed), "vector-components")
+        links = materialize(_link_counts(edges, members, nodes, crossed, threshold), "links")
         draw += 1
         found = links.join(audited.select("node"), "node", "left_semi").agg(F.sum("links")).first()[0] or 0
         if draw == DRAWS or found >= LEAST_RECALL * expected:

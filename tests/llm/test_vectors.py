@@ -83,3 +83,33 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
         assert (row.n_links, row.component_id) == (links[row.vec_id], find(row.vec_id)), row
         assert row.kept == (row.vec_id == row.component_id)
     assert near_vectors(frame(spark, rows).limit(0)).collect() == []
+
+
+def brute(rows):
+    """Links and the smallest id of the component of every row, all vectors of one width."""
+    unit = np.array([v / np.linalg.norm(v) for _, v in rows])
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    group = np.array([i for i, _ in rows])
+    while True:
+        least = np.where(near, group[None, :], group[:, None]).min(axis=1)
+        least = np.minimum(least, group)
+        if (least == group).all():
+            return {i: (int(n), int(g)) for (i, _), n, g in zip(rows, near.sum(axis=1), group, strict=True)}
+        group = least
+
+
+def test_dense_groups_linked_to_each_other_are_one(spark):
+    rng = np.random.default_rng(3)
+    first = np.zeros(32)
+    first[0] = 1
+    second = np.zeros(32)
+    second[:2] = 0.93, math.sqrt(1 - 0.93**2)
+    apart = np.zeros(32)
+    apart[2] = 1
+    noise = 0.02 * rng.standard_normal((3, 90, 32))
+    vectors = np.concatenate([c + n for c, n in zip((first, second, apart), noise, strict=True)])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    expected = brute(rows)
+    assert len({g for _, g in expected.values()}) == 2 and expected[0][0] > 120
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame(spark, rows)).collect()} == expected
