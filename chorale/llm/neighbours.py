@@ -6,8 +6,10 @@
 3. Descent: two neighbours of one vector may be neighbours of each other. Each round brings the vectors of a list
    together at its owner, compares them, and keeps the best for both. Rounds end when few lists change.
 4. A list whose every entry reaches the threshold is saturated and grows to ``LONG`` entries.
-5. Audit: a fixed number of vectors, picked by hash, is compared with all vectors. Below ``LEAST_RECALL`` new sort
-   orders are drawn and the descent goes on.
+5. Audit: vectors picked by hash are compared with all vectors, more of them until enough have few links. Recall is
+   the mean share of linked classes found, of vectors with few links apart from those with many. Below
+   ``LEAST_RECALL`` new sort orders are drawn and the descent goes on; the draws allowed grow with the number of bits
+   of an order, and so with the table. If they do not suffice, the run fails.
 6. Pairs at or above the threshold are links. Where a list of a component is still full, the component is dense: its
    vectors are compared in blocks that only count, so counts are exact however many copies there are; no pairs are
    written.
@@ -31,10 +33,12 @@ from chorale.llm.common import connected_components, materialize, small_batches
 SHORT, LONG = 10, 40
 #: Sort orders drawn at a time, rows of a window, entries that a row takes from one window.
 ORDERS, WINDOW, TAKEN = 6, 64, 6
-#: Rounds of descent after each draw, the share of changed lists that ends them, draws at most.
+#: Rounds of descent after each draw, the share of changed lists that ends them, draws at most for each bit of an order.
 ROUNDS, SETTLED, DRAWS = 3, 0.01, 4
-#: Vectors of the audit, and the recall it asks for. Vectors of a counting block.
-AUDITED, LEAST_RECALL, BLOCK = 256, 0.99, 512
+#: Vectors of the first audit and of the last, vectors with few links that it asks for, the recall it asks for.
+AUDITED, MOST_AUDITED, LINKED, LEAST_RECALL = 256, 4_096, 64, 0.99
+#: Vectors of a counting block.
+BLOCK = 512
 #: Balls compared at a time, and what rounding adds to an angle at the most.
 BALLS, SLACK = 1_024, 1e-6
 BATCH = 1_000
@@ -123,7 +127,7 @@ def _counts(threshold: float):
                 np.fill_diagonal(near, False)
                 if i != j:
                     near &= block[:, None] != block[None, :]
-                yield pd.DataFrame({"node": node, "links": near.astype(np.int64) @ copies})
+                yield pd.DataFrame({"node": node, "links": near.astype(np.int64) @ copies, "classes": near.sum(axis=1)})
 
     return count
 
@@ -161,8 +165,22 @@ def _descend(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _audit(nodes: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``links``: copies of other classes within the threshold, by brute force, of a bounded sample."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(7))).limit(AUDITED).select("node", "vector").collect()
+    """``node``, ``expected``: classes linked to each vector of a sample, by brute force.
+
+    The sample is doubled until ``LINKED`` of its vectors have links, but fewer than a list holds, or it has
+    ``MOST_AUDITED`` vectors or all.
+    """
+    size = AUDITED
+    while True:
+        audited = materialize(_linked(nodes, threshold, size), "audit")
+        row = audited.agg(F.count("*").alias("all"), F.count_if(F.col("expected").between(1, LONG - 1)).alias("few")).first()
+        if row["few"] >= LINKED or size >= MOST_AUDITED or row["all"] < size:
+            return audited
+        size *= 2
+
+
+def _linked(nodes: DataFrame, threshold: float, size: int) -> DataFrame:
+    sample = nodes.orderBy(F.xxhash64("node", F.lit(7))).limit(size).select("node", "vector").collect()
     asked: dict[int, tuple[list[int], np.ndarray]] = {}
     for width in {len(r["vector"]) for r in sample}:
         own = [r for r in sample if len(r["vector"]) == width]
@@ -175,9 +193,17 @@ def _audit(nodes: DataFrame, threshold: float) -> DataFrame:
                     ids, units = asked[width]
                     near = _units(part["vector"]) @ units.T >= threshold
                     near &= part["node"].to_numpy()[:, None] != np.array(ids)[None, :]
-                    yield pd.DataFrame({"node": ids, "links": part["copies"].to_numpy(np.int64) @ near})
+                    yield pd.DataFrame({"node": ids, "expected": near.sum(axis=0)})
+
+    return nodes.mapInPandas(count, "node long, expected long").groupBy("node").agg(F.sum("expected").alias("expected"))
+
 
-    return nodes.mapInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+def _recall(audited: DataFrame, links: DataFrame) -> tuple[float, int]:
+    """The lower of the mean shares of linked classes found, of audited vectors with few links and with many; how many have links."""
+    share = F.least(F.coalesce("classes", F.lit(0)) / F.col("expected"), F.lit(1.0))
+    shares = audited.where("expected > 0").join(links, "node", "left").groupBy(F.col("expected") >= LONG)
+    means = shares.agg(F.avg(share).alias("recall"), F.count("*").alias("n")).collect()
+    return min((r["recall"] for r in means), default=1.0), sum(r["n"] for r in means)
 
 
 def _balls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,7 +253,7 @@ def _crossed(threshold: float):
                 near = (units @ units.T >= threshold) & (side[:, None] != side[None, :])
                 links = near.astype(np.int64) @ copies
                 hit = links > 0
-                yield pd.DataFrame({"component": component, "other": other, "node": node[hit], "links": links[hit]})
+                yield pd.DataFrame({"component": component, "other": other, "node": node[hit], "links": links[hit], "classes": near.sum(axis=1)[hit]})
 
     return cross
 
@@ -244,7 +270,7 @@ def _blocks(lists: DataFrame, nodes: DataFrame, components: DataFrame, threshold
 
 
 def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
-    """``component``, ``other``, ``node``, ``links``: copies in the other dense component linked to each node."""
+    """``component``, ``other``, ``node``, ``links``, ``classes``: copies and classes in the other dense component linked to each node."""
     balls = members.groupBy("component", "block").agg(F.collect_list("vector").alias("vectors"))
     balls = balls.mapInPandas(_balls, "component long, block int, width int, centre binary, radius double")
     balls = materialize(balls, "dense-balls")
@@ -261,21 +287,23 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
         for side, (c, b) in enumerate([("component", "block"), ("other", "other_block")])
     ]
     met = sides[0].unionByName(sides[1]).groupBy(*key).agg(F.collect_list("m").alias("members")).select("component", "other", "members")
-    return met.mapInPandas(_crossed(threshold), "component long, other long, node long, links long")
+    return met.mapInPandas(_crossed(threshold), "component long, other long, node long, links long, classes long")
 
 
 def _link_counts(edges: DataFrame, members: DataFrame, nodes: DataFrame, crossed: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``links``: copies of other classes linked to each class on an edge."""
+    """``node``, ``links``, ``classes``: copies and number of other classes linked to each class on an edge."""
     copies = nodes.select("node", "copies")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    listed = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("links"))
+    listed = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
+    listed = listed.agg(F.sum("copies").alias("links"), F.count("*").alias("classes"))
 
     inside = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meeting = inside.groupBy("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     meeting = meeting.agg(F.collect_list(F.struct("node", "copies", "block", "vector")).alias("members")).drop("component")
-    counted = meeting.mapInPandas(_counts(threshold), "node long, links long")
-    counted = counted.unionByName(crossed.select("node", "links")).groupBy("node").agg(F.sum("links").alias("counted"))
-    return listed.join(counted, "node", "left").select("node", F.coalesce("counted", "links").alias("links"))
+    counted = meeting.mapInPandas(_counts(threshold), "node long, links long, classes long")
+    counted = counted.unionByName(crossed.select("node", "links", "classes")).groupBy("node")
+    counted = counted.agg(F.sum("links").alias("counted"), F.sum("classes").alias("met"))
+    return listed.join(counted, "node", "left").select("node", F.coalesce("counted", "links").alias("links"), F.coalesce("met", "classes").alias("classes"))
 
 
 def _joined(components: DataFrame, crossed: DataFrame) -> DataFrame:
@@ -288,8 +316,8 @@ def _joined(components: DataFrame, crossed: DataFrame) -> DataFrame:
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, *, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors``.
 
-    Links join vectors of cosine ``threshold`` or more, found by NN-descent (recall is audited; no pair below the
-    threshold is linked). Vectors that are null, empty, zero or hold null or non-finite components link with nothing,
+    Links join vectors of cosine ``threshold`` or more, found by NN-descent (recall is audited, and a run
+    that stays below it raises; no pair below the threshold is linked). Vectors that are null, empty, zero or hold null or non-finite components link with nothing,
     and vectors of different lengths never link. Rows of equal vectors link with each other; repeated ids are fine.
     An empty table gives an empty result.
     """
@@ -308,8 +336,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, *, vec_id: str = "v
     nodes = materialize(classes.mapInPandas(pack, "node long, vector binary, first long, copies long"), "vector-classes")
     total = nodes.count()
     bits = max(1, min(30, (max(total, 1) // 32).bit_length()))
-    audited = materialize(_audit(nodes, threshold), "audit")
-    expected = audited.agg(F.sum("links")).first()[0] or 0
+    audited = _audit(nodes, threshold)
 
     lists, draw = None, 0
     while True:
@@ -329,9 +356,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, *, vec_id: str = "v
         components = materialize(_joined(components, crossed), "vector-components")
         links = materialize(_link_counts(edges, members, nodes, crossed, threshold), "links")
         draw += 1
-        found = links.join(audited.select("node"), "node", "left_semi").agg(F.sum("links")).first()[0] or 0
-        if draw == DRAWS or found >= LEAST_RECALL * expected:
+        recall, linked = _recall(audited, links)
+        if recall >= LEAST_RECALL:
             break
+        if draw >= DRAWS * bits:
+            raise RuntimeError(f"near-vector recall is {recall:.4f} over {linked} audited vectors after {draw} draws, below {LEAST_RECALL}")
 
     named = components.join(nodes.select("node", "first"), "node")
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))

@@ -113,3 +113,18 @@ def test_dense_groups_linked_to_each_other_are_one(spark):
     expected = brute(rows)
     assert len({g for _, g in expected.values()}) == 2 and expected[0][0] > 120
     assert {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame(spark, rows)).collect()} == expected
+
+
+def test_audit_weighs_every_vector_alike(spark, monkeypatch):
+    audited = spark.createDataFrame([(1, 1000), (2, 1), (3, 2), (4, 0)], "node long, expected long")
+    links = spark.createDataFrame([(1, 9000, 1000), (3, 1, 1)], "node long, links long, classes long")
+    assert neighbours._recall(audited, links) == (0.25, 3)  # of 2 and 3, none and half
+    assert neighbours._recall(audited.where("node = 4"), links) == (1.0, 0)
+    rng = np.random.default_rng(1)
+    loose = rng.standard_normal((60, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([loose, loose[:30] + 0.05 * rng.standard_normal((30, 16))]))]
+    # orders that find nothing: the loss must be told, not accepted
+    monkeypatch.setattr(neighbours, "_draw", lambda nodes, bits, seeds: spark.createDataFrame([], "a long, b long, similar double"))
+    monkeypatch.setattr(neighbours, "DRAWS", 1)
+    with pytest.raises(RuntimeError, match="recall is 0.0000"):
+        near_vectors(frame(spark, rows))
