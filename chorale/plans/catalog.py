@@ -436,8 +436,8 @@ def workflow_predictions(spark, sf_dir):
         spark,
         scratch_path(spark, "workflow"),
         demo_lexicon(spark),
-        tfidf.TfidfParams(max_features=2_000),
-        learning.TrainingParams(max_iter=20, step=10),
+        tfidf.TfidfParams(),
+        learning.TrainingParams(),
     )
     source = messages(spark, sf_dir)
     return chain.run(source, source, order_col="id")
