@@ -22,12 +22,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group; documents without words all stay."""
-    kept = near_duplicates(docs).where("kept").select("doc_id", "text_hash").distinct()
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(kept["doc_id"]) & (hashed["text_hash"] == kept["text_hash"])
-    # a row that occurs twice is a group of its own
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select(*COLUMNS)
+    """One document of each near-duplicate group, that of the smallest id; documents without words all stay."""
+    # ids may be null or repeat: rows are grouped by a number of their own, stored so that it stays the same
+    numbered = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    grouped = near_duplicates(numbered, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = grouped.join(numbered.select("row", "doc_id"), "row").groupBy("component_id").agg(first).select("first.row")
+    return numbered.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

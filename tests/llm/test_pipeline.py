@@ -91,3 +91,17 @@ def test_columns_of_the_queries(spark):
         rows = table(spark, SF_DIR, source)
         rows = rows.where(F.col("vec_id") % 50 == 0).count() * 5 if name == "op2_topk" else rows.count()
         assert frame.count() == rows, name
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words, "end"]), " ".join(["start", *words])]
+    other = [" ".join(f"x{i}" for i in range(60)) + end for end in ("", " end")]
+    rows = [(None, t, "en", "a") for t in near]  # no id at all
+    rows += [(5, other[0], "en", "a"), (5, other[1], "de", "b"), (7, other[0], "en", "a")]  # the smallest id twice
+    rows += [(None, None, "en", "a"), (None, None, "de", "b"), (None, None, "de", "b"), (8, "", "en", "a")]  # no words
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "unused").collect()
+    assert len([r for r in out if r.text in near]) == 1
+    assert [r.doc_id for r in out if r.text in other] == [5]
+    assert sorted((r.lang, r.source) for r in out if not r.text) == [("de", "b"), ("de", "b"), ("en", "a"), ("en", "a")]
