@@ -5,7 +5,7 @@ from chorale.operators.scoring import assemble_predictions
 from chorale.operators.tfidf import TfidfModel, TfidfParams
 from chorale.streaming import messages as stream
 
-TEXTS = ["ravi !", "quel gâchis", "lequel ¿ d'où", "rien", None, "le bulletin, le vote"]
+TEXTS = ["ravi !", "quel gâchis", "lequel ¿ d'où", "rien", None, "l'urne, le cortège"]
 
 
 def put(spark, path, texts, start):
