@@ -18,6 +18,7 @@ from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.sharding import shard_by_bytes
 from chorale.llm.topk import top_k
 from chorale.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
+from chorale.llm.trie import paths, prefix_trie, rebuild
 from chorale.llm.urls import Rule, filter_urls
 
 
@@ -105,6 +106,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie over the rebuilt conversations."""
+    return prefix_trie(rebuild(paths(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_urls": op9_urls,
     "op10_near_vectors": op10_near_vectors,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -162,4 +169,37 @@ ORACLES: dict[str, str] = {
         counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
         SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN counts USING (vec_id)""",
+    # crc32 has no function in the dialect: its shift register runs over the bits of the decimal id
+    "op13_prefix_trie": """
+        WITH ids AS (SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL),
+        crcs AS (
+            SELECT c, xor(4294967295, list_reduce(
+                flatten(list_transform(range(1, length(s) + 1), lambda i:
+                    list_transform(range(0, 8), lambda b: (ascii(substring(s, i::BIGINT, 1)) >> b) & 1))),
+                lambda r, m: xor(r >> 1, 3988292384 * (xor(r, m) & 1)), 4294967295)) % 9 AS h
+            FROM (SELECT c, s FROM ids)),
+        told AS (
+            SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                      sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+            FROM conversations WHERE conv_id IS NOT NULL),
+        lists AS (SELECT c, list({'role': role, 'text': text} ORDER BY i) AS turns FROM told GROUP BY c),
+        rebuilt AS (
+            SELECT o.c, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+            FROM crcs k JOIN lists o USING (c) LEFT JOIN lists b ON b.c = o.c - o.c % 5),
+        members AS (
+            SELECT c, unnest(range(0, len(turns) + 1)) AS depth, turns, len(turns) AS n FROM rebuilt),
+        keyed AS (SELECT c, depth, turns[1:depth] AS path, turns[1:depth - 1] AS above, n, turns[depth].text AS last FROM members),
+        nodes AS (
+            SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs,
+                   CASE depth WHEN 0 THEN NULL ELSE any_value(above) END AS above,
+                   CASE depth WHEN 0 THEN 0 ELSE (count(*) - 1) * any_value(strlen(last)) END AS own,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '')) AS ends_sha256
+            FROM keyed GROUP BY path, depth),
+        children AS (SELECT above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+        counted AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON n.path = k.path),
+        upward AS (SELECT path[1:unnest(range(0, depth + 1))] AS path, own, (n_children = 0)::BIGINT AS leaf FROM counted),
+        totals AS (SELECT path, sum(own)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM upward GROUP BY path)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM counted n JOIN totals t ON n.path = t.path LEFT JOIN nodes p ON p.path = n.above""",
 }
