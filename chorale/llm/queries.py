@@ -13,6 +13,7 @@ from chorale.llm.html import extract_text
 from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.neighbours import near_vectors
+from chorale.llm.pii import AGAINST, AROUND, BASE, FOR, scan_pii
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
 from chorale.llm.sharding import shard_by_bytes
@@ -106,6 +107,15 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts of the base kinds, a digest of their spans, all spans."""
+    found = scan_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.expr(f"filter(pii, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("pii")).alias("spans"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nodes of the prefix trie over the rebuilt conversations."""
     return prefix_trie(rebuild(paths(table(spark, sf_dir, "conversations"))))
@@ -123,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_urls": op9_urls,
     "op10_near_vectors": op10_near_vectors,
+    "op12_pii": op12_pii,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -169,6 +180,51 @@ ORACLES: dict[str, str] = {
         counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
         SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN counts USING (vec_id)""",
+    # matches and the gaps between them give the offsets; rules and scores as in the operator, scores in tenths
+    "op12_pii": rf"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        kinds(kind, rank, pattern, worth, favour, doubt) AS (VALUES
+            ('email', 0, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+', 9, '{FOR["email"]}', NULL),
+            ('ip', 1, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)', 6, '{FOR["ip"]}', '{AGAINST["ip"]}'),
+            ('card', 2, '[0-9]([\x20-]?[0-9])+', 8, '{FOR["card"]}', '{AGAINST["card"]}'),
+            ('phone', 3, '\+[0-9][\x20().0-9-]+[0-9]', 5, '{FOR["phone"]}', '{AGAINST["phone"]}'),
+            ('iban', 4, '\b[A-Z]{{2}}[0-9]{{2}}([A-Z0-9]{{11,30}}|(\x20[A-Z0-9]{{4}}){{2,7}}(\x20[A-Z0-9]{{1,3}})?)\b', 7, '{FOR["iban"]}', '{AGAINST["iban"]}'),
+            ('ssn', 5, '\b[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}\b', 3, '{FOR["ssn"]}', '{AGAINST["ssn"]}')),
+        cut AS (
+            SELECT doc_id, kind, rank, worth, favour, doubt, text, regexp_extract_all(text, pattern) AS found,
+                   regexp_split_to_array(text, pattern) AS gaps
+            FROM docs, kinds),
+        listed AS (
+            SELECT doc_id, kind, rank, worth, favour, doubt, text, generate_subscripts(found, 1) AS i,
+                   unnest(found) AS m, unnest(gaps[1:len(found)]) AS gap FROM cut),
+        placed AS (
+            SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS stop FROM listed),
+        marked AS (
+            SELECT *, stop - length(m) AS start, regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS plain FROM placed),
+        ruled AS (
+            SELECT * FROM marked WHERE CASE kind
+                WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3
+                                               OR coalesce(try_cast(ltrim(p, '0') AS INT), 0) > 255)) = 0
+                WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(
+                    range(1, length(digits) + 1), lambda j: CASE WHEN j % 2 = 1 THEN reverse(digits)[j]::INT
+                        WHEN reverse(digits)[j]::INT > 4 THEN reverse(digits)[j]::INT * 2 - 9 ELSE reverse(digits)[j]::INT * 2 END)) % 10 = 0
+                WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
+                WHEN 'iban' THEN list_reduce(list_transform(string_split(substring(plain, 5) || plain[1:4], ''),
+                        lambda c: CASE WHEN c BETWEEN 'A' AND 'Z' THEN ascii(c) - 55 ELSE c::INT END),
+                    lambda r, v: (r * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97, 0) = 1
+                WHEN 'ssn' THEN NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$') ELSE true END),
+        near AS (
+            SELECT *, lower(substring(text, greatest(start - {AROUND}, 0) + 1, least(start, {AROUND})) || ' '
+                            || substring(text, stop + 1, {AROUND})) AS words FROM ruled),
+        kept AS (
+            SELECT * FROM near WHERE rank < 4 OR worth + CASE WHEN regexp_matches(words, favour) THEN 3 ELSE 0 END
+                                               - CASE WHEN regexp_matches(words, doubt) THEN 3 ELSE 0 END >= 5),
+        spans AS (SELECT doc_id, kind, rank, start, kind || ':' || start || ':' || stop AS span FROM kept)
+        SELECT d.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+               count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+               sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 4), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+        FROM docs d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id""",
     # crc32 has no function in the dialect: its shift register runs over the bits of the decimal id
     "op13_prefix_trie": """
         WITH ids AS (SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL),
