@@ -13,6 +13,7 @@ from chorale.llm.html import extract_text
 from chorale.llm.minhash import near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.neighbours import near_vectors
+from chorale.llm.phrases import collocations
 from chorale.llm.pii import AGAINST, AROUND, BASE, FOR, scan_pii
 from chorale.llm.secrets import KINDS, scan_secrets
 from chorale.llm.sentencepiece import Vocabulary, decode, encode
@@ -107,6 +108,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts of the base kinds, a digest of their spans, all spans."""
     found = scan_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
@@ -133,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_urls": op9_urls,
     "op10_near_vectors": op10_near_vectors,
+    "op11_phrases": op11_phrases,
     "op12_pii": op12_pii,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -180,6 +187,31 @@ ORACLES: dict[str, str] = {
         counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
         SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN counts USING (vec_id)""",
+    "op11_phrases": r"""
+        WITH docs AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+        lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w != '') AS words FROM pieces),
+        sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM lists GROUP BY lang),
+        starts AS (SELECT lang, words, d, unnest(range(1, len(words) - d + 2)) AS s FROM lists, range(1, 5) t(d) WHERE len(words) >= d),
+        counts AS (
+            SELECT lang, d, words[s:s + d - 1] AS words, count(*) AS f FROM starts GROUP BY ALL HAVING count(*) >= 30),
+        listed AS (SELECT lang, d, words, f AS a FROM counts WHERE d > 1),
+        cuts AS (SELECT lang, d, words, a, unnest(range(1, d)) AS k FROM listed),
+        scored AS (
+            SELECT c.lang, c.d, c.words, c.a, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score, k
+            FROM cuts c JOIN counts x ON x.lang = c.lang AND x.words = c.words[1:k]
+                        JOIN counts y ON y.lang = c.lang AND y.words = c.words[k + 1:]),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, words[s:s + m - 1] AS words, max(a) AS longer
+            FROM (SELECT lang, words, a, m, unnest(range(1, d - m + 2)) AS s FROM listed, range(2, 4) t(m) WHERE m < d) GROUP BY ALL),
+        kept AS (
+            SELECT w.lang, array_to_string(w.words, ' ') AS phrase, a, l, r, score
+            FROM lowest w LEFT JOIN inside i ON i.lang = w.lang AND i.words = w.words WHERE longer IS NULL OR 100 * longer < 80 * a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
     # matches and the gaps between them give the offsets; rules and scores as in the operator, scores in tenths
     "op12_pii": rf"""
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
