@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from chorale.functions.labels import decode_tones, label_set, split_labels, threshold_indicators
+from chorale.functions.labels import argmax_label, decode_tones, label_set, split_labels, threshold_indicators
 from chorale.functions.text import char_ngrams, normalize_text, spaced_line, strip_accents, word_count
 from chorale.operators import corpus, evaluation, labeling, learning, sampling, scoring, tfidf
 from chorale.operators.lexicon import demo_lexicon
 from chorale.plans.inputs import documents, messages, table, turns
-from chorale.plans.workflow import Workflow
-from chorale.session import scratch_path, spread
+from chorale.plans.workflow import Workflow, evaluate_files, read_evaluation
+from chorale.session import scratch_path, shared_dir, spread
 from chorale.sources import files
 from chorale.streaming import messages as stream
 
@@ -430,17 +431,124 @@ def stream_distribution(spark, sf_dir):
     return labeling.percentages(counts, ["axis"]).withColumn("percentage", F.round("percentage", 6))
 
 
-def workflow_predictions(spark, sf_dir):
-    """Format, label, learn the space, train and predict in one run."""
+def _chain(spark, sf_dir):
+    """The whole chain over the messages. Runs share a folder, so that a step already committed is not run again."""
     chain = Workflow(
         spark,
-        scratch_path(spark, "workflow"),
+        f"{shared_dir(spark)}/workflow",
         demo_lexicon(spark),
         tfidf.TfidfParams(),
         learning.TrainingParams(),
     )
     source = messages(spark, sf_dir)
-    return chain.run(source, source, order_col="id")
+    return chain, chain.run(source, source, order_col="id")
+
+
+def workflow_predictions(spark, sf_dir):
+    """Format, label, learn the space, train and predict in one run."""
+    return _chain(spark, sf_dir)[1]
+
+
+def workflow_messages(spark, sf_dir):
+    """What the chain predicts: ids and cleaned texts, and whether each record is well-formed.
+
+    ``known``: every predicted label is one of its axis. ``reproduced``: the models as stored give the same record.
+    """
+    chain, predictions = _chain(spark, sf_dir)
+    classifier = chain.classifier()
+    names = classifier.class_arrays()
+    scored = classifier.score(chain.space().features(corpus.api_part(chain.table("split"))))
+    again = scoring.assemble_predictions(scored, names).select(
+        "id",
+        *[F.col(f"{a}Pred").alias(a) for a in ("polarite", "ton", "target")],
+    )
+    known = (
+        F.array_contains(names["polarite"], F.col("polaritePred"))
+        & F.array_contains(names["target"], F.col("targetPred"))
+        & (F.size(F.array_except("tonPred", F.array_append(names["ton"], F.lit("Autres")))) == 0)
+    )
+    same = (F.col("polaritePred") == F.col("polarite")) & (F.col("tonPred") == F.col("ton")) & (F.col("targetPred") == F.col("target"))
+    return predictions.join(again, "id").select("id", "text", known.alias("known"), same.alias("reproduced"))
+
+
+def workflow_parts(spark, sf_dir):
+    """Rows of every class in the fitting, validation and held-out part of the training messages."""
+    chain, _ = _chain(spark, sf_dir)
+    part = F.when(F.col("is_test"), "held out").when(F.col("is_validation"), "validation").otherwise("fitting")
+    single = [F.struct(F.lit(a).alias("axis"), F.col(a).alias("label")) for a in ("polarite", "target")]
+    tones = F.transform("ton", lambda t: F.struct(F.lit("ton").alias("axis"), t.alias("label")))
+    rows = chain.table("training/parts").select(part.alias("part"), F.inline(F.concat(F.array(*single), tones)))
+    return rows.groupBy("part", "axis", "label").agg(F.count("*").alias("n"))
+
+
+def workflow_accuracy(spark, sf_dir):
+    """Per single axis: whether probabilities sum to one, and held-out accuracy reaches the share of the largest class."""
+    chain, _ = _chain(spark, sf_dir)
+    held = chain.table("training/held-out")
+    names = chain.classifier().class_arrays()
+    stacked = held.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(a).alias("axis"),
+                        F.col(a).alias("label"),
+                        (argmax_label(f"{a}Prob", names[a]) == F.col(a)).alias("hit"),
+                        F.aggregate(f"{a}Prob", F.lit(0.0), lambda t, x: t + x).alias("mass"),
+                    )
+                    for a in ("polarite", "target")
+                ]
+            )
+        )
+    )
+    per_label = stacked.groupBy("axis", "label").agg(
+        F.count("*").alias("n"), F.sum(F.col("hit").cast("long")).alias("hits"), F.max(F.abs(F.col("mass") - 1)).alias("off")
+    )
+    return per_label.groupBy("axis").agg(
+        F.sum("n").alias("held_out"),
+        (F.max("off") < 1e-9).alias("sums_to_one"),
+        (F.sum("hits") >= F.max("n")).alias("beats_majority"),
+    )
+
+
+def training_rounds(spark, sf_dir):
+    """Per axis: whether the fitting loss fell from look to look, and the look kept has the least validation loss."""
+    chain, _ = _chain(spark, sf_dir)
+    looks = chain.table("training/rounds")
+    before = F.lag("loss").over(Window.partitionBy("axis").orderBy("round"))  # a few looks for each axis
+    return looks.withColumn("before", before).groupBy("axis").agg(
+        F.coalesce(F.max(F.col("loss") - F.col("before")) <= 0, F.lit(True)).alias("loss_falls"),
+        (F.min("validation") == F.min(F.when(F.col("kept"), F.col("validation")))).alias("least_is_kept"),
+        (F.max("iteration") <= learning.TrainingParams().max_iter).alias("within_limit"),
+    )
+
+
+def stored_evaluation(spark, sf_dir):
+    """Gold CSV and predictions JSON lines, as files, to the evaluation report and back."""
+    root = scratch_path(spark, "evaluation")
+    gold = _gold(spark, sf_dir).withColumns({"text": F.lit("a, \"b\"\nc"), "commentaireGold": F.lit("")})
+    predicted = _predicted(spark, sf_dir).select(
+        "id",
+        F.lit("").alias("text"),
+        "polaritePred",
+        F.lit(1.0).alias("polariteAcc"),
+        F.split("tonPred", ";").alias("tonPred"),
+        F.lit(1.0).alias("tonAcc"),
+        "targetPred",
+        F.lit(1.0).alias("targetAcc"),
+    )
+    columns = [c.split()[0] for c in files.GOLD_SCHEMA.split(", ")]
+    files.write_csv(gold.select(*columns), f"{root}/gold")
+    files.write_json_lines(predicted, f"{root}/predictions")
+    evaluate_files(spark, f"{root}/gold", f"{root}/predictions", f"{root}/report")
+    scores = read_evaluation(spark, f"{root}/report")
+    return scores.select(
+        "axis",
+        *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "exactMatch", "partialMatch")],
+        "totalGoldRows",
+        "totalPredictionRows",
+        "totalComparedRows",
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -492,6 +600,11 @@ QUERIES: dict[str, Query] = {
         stream_labels,
         stream_distribution,
         workflow_predictions,
+        workflow_messages,
+        workflow_parts,
+        workflow_accuracy,
+        training_rounds,
+        stored_evaluation,
     )
 }
 

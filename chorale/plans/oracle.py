@@ -417,3 +417,40 @@ samples AS (SELECT len(list_intersect(g, p)) AS s, len(p) AS np, len(g) AS ng FR
     "stream_labels": f"WITH {_labels(DOCUMENTS_SQL)} SELECT * FROM labelled",
     "stream_distribution": _distribution(DOCUMENTS_SQL),
 }
+
+_API = (
+    f"SELECT i - cut AS id, {_norm('text')} AS text FROM "
+    f"(SELECT *, CAST(floor(0.7::DOUBLE * n) AS BIGINT) AS cut FROM ({_indexed(MESSAGES)})) WHERE i >= cut"
+)
+_TRAINING = (
+    f"SELECT i AS id, {_norm('text')} AS text FROM "
+    f"(SELECT *, CAST(floor(0.7::DOUBLE * n) AS BIGINT) AS cut FROM ({_indexed(MESSAGES)})) WHERE i < cut"
+)
+# The split of the documents, by polarity instead of language; the last tenth of the training rows validates.
+_QUOTAS = _SPLIT_TABLE.replace("lang", "polarite").replace("documents", "labelled").replace("WITH sizes", ",\nsizes")
+_PARTS = f"""WITH {_labels(_TRAINING)}{_QUOTAS.rstrip()},
+tested AS (
+    SELECT l.*, row_number() OVER (PARTITION BY polarite ORDER BY {_HASH.format('id')}) <= quota AS is_test
+    FROM labelled l JOIN quotas USING (polarite)),
+parted AS (
+    SELECT *, CASE WHEN is_test THEN 'held out'
+                   WHEN row_number() OVER (PARTITION BY is_test ORDER BY md5('42/order:' || id) || ':' || id)
+                        > floor(count(*) OVER (PARTITION BY is_test) * 0.9::DOUBLE) THEN 'validation'
+                   ELSE 'fitting' END AS part FROM tested)"""
+
+ORACLES |= {
+    "workflow_messages": f"SELECT id, text, true AS known, true AS reproduced FROM ({_API})",
+    "workflow_parts": f"""{_PARTS},
+stacked AS (
+    SELECT part, 'polarite' AS axis, polarite AS label FROM parted
+    UNION ALL SELECT part, 'target', target FROM parted
+    UNION ALL SELECT part, 'ton', unnest(string_split(ton, ';')) FROM parted)
+SELECT part, axis, label, count(*) AS n FROM stacked GROUP BY ALL""",
+    "workflow_accuracy": f"""{_PARTS}
+SELECT unnest(['polarite', 'target']) AS axis, count(*) AS held_out, true AS sums_to_one, true AS beats_majority
+FROM parted WHERE is_test""",
+    "training_rounds": (
+        "SELECT unnest(['polarite', 'target', 'ton']) AS axis, true AS loss_falls, true AS least_is_kept, true AS within_limit"
+    ),
+    "stored_evaluation": f"SELECT * FROM ({ORACLES['axis_scores']}) a, ({ORACLES['compared_counts']}) c",
+}
