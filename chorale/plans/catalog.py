@@ -16,6 +16,8 @@ from chorale.plans.inputs import documents, messages, table, turns
 from chorale.plans.workflow import Workflow, evaluate_files, read_evaluation
 from chorale.session import scratch_path, shared_dir, spread
 from chorale.sources import files
+from chorale.sources.checks import audited_write
+from chorale.streaming import batches
 from chorale.streaming import messages as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +117,27 @@ def vocabulary_size(spark, sf_dir):
     return corpus.vocabulary_size(documents(spark, sf_dir))
 
 
+def vocabulary_estimate(spark, sf_dir):
+    """Vocabulary size from stored sketches of the languages: whether the merged estimate is within 2 % of the count."""
+    path = scratch_path(spark, "sketches")
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    corpus.vocabulary_sketches(docs, "lang").write.parquet(path)
+    merged = corpus.merged_vocabulary(spark.read.parquet(path))
+    exact = corpus.vocabulary_size(documents(spark, sf_dir))
+    size = exact.columns[0]
+    return exact.select(
+        F.col(size).alias("vocabSize"),
+        (F.abs(merged.scalar() - F.col(size)) <= F.col(size) * 0.02).alias("within"),
+    )
+
+
+def audited_input(spark, sf_dir):
+    """Rows, nulls and unknown labels of the gold table, counted while it is written."""
+    rows = _gold(spark, sf_dir).withColumn("text", F.when(F.col("id") % 5 > 0, F.repeat(F.lit(" "), (F.col("id") % 3).cast("int"))))
+    labels = {"polariteGold": ["Favorable", "Neutre"], "tonGold": ["Informatif", "Question"]}
+    return audited_write(rows, scratch_path(spark, "audited"), labels=labels).drop("distinct_ids")
+
+
 # --- weak labelling ---------------------------------------------------------
 
 
@@ -523,6 +546,41 @@ def training_rounds(spark, sf_dir):
     )
 
 
+def stored_models(spark, sf_dir):
+    """Held-out rows: whether the stored models give the probabilities that the fitted ones gave."""
+    chain, _ = _chain(spark, sf_dir)
+    fitted = chain.table("training/held-out").select("id", "polariteProb", "tonProb", "targetProb")
+    classifier, space = chain.classifier(), chain.space()
+    again = classifier.score(space.features(chain.table("labelled").select("id", "text")))
+    close = lambda a: F.forall(F.zip_with(f"f.{a}", f"g.{a}", lambda x, y: F.abs(x - y)), lambda d: d < 1e-12)
+    both = fitted.alias("f").join(again.alias("g"), "id")
+    return both.select("id", (close("polariteProb") & close("tonProb") & close("targetProb")).alias("equal"))
+
+
+def stream_counts(spark, sf_dir):
+    """Label counts stored by batch, summed when read."""
+    root = scratch_path(spark, "stream-batches")
+    labelled = stream.label_messages(
+        _message_stream(spark, sf_dir), labeling.build_matcher(demo_lexicon(spark))
+    )
+    batches.write_batches(labelled, f"{root}/out", f"{root}/state", batches.label_counts).awaitTermination()
+    return batches.running_counts(spark, f"{root}/out").withColumn("percentage", F.round("percentage", 6))
+
+
+def stream_predictions(spark, sf_dir):
+    """Documents predicted as a stream by the stored models: whether each record equals the batch result."""
+    chain, _ = _chain(spark, sf_dir)
+    space, classifier = chain.space(), chain.classifier()
+    root = scratch_path(spark, "stream-predictions")
+    predicted = stream.predict_messages(_message_stream(spark, sf_dir), space, classifier)
+    batches.write_batches(predicted, f"{root}/out", f"{root}/state", batches.prediction_counts).awaitTermination()
+    streamed = batches.read_batches(spark, f"{root}/out", predicted.schema).drop("batch")
+    whole = scoring.assemble_predictions(classifier.score(space.features(documents(spark, sf_dir))), classifier.class_arrays())
+    record = F.struct(*[c for c in whole.columns if c != "id"])
+    both = streamed.select("id", record.alias("streamed")).join(whole.select("id", record.alias("whole")), "id")
+    return both.select("id", F.col("streamed").eqNullSafe(F.col("whole")).alias("equals_batch"))
+
+
 def stored_evaluation(spark, sf_dir):
     """Gold CSV and predictions JSON lines, as files, to the evaluation report and back."""
     root = scratch_path(spark, "evaluation")
@@ -565,6 +623,8 @@ QUERIES: dict[str, Query] = {
         corpus_report_formatted,
         message_sizes,
         vocabulary_size,
+        vocabulary_estimate,
+        audited_input,
         label_scores,
         label_scores_joined,
         labelled_messages,
@@ -605,6 +665,9 @@ QUERIES: dict[str, Query] = {
         workflow_accuracy,
         training_rounds,
         stored_evaluation,
+        stored_models,
+        stream_counts,
+        stream_predictions,
     )
 }
 

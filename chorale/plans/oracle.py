@@ -453,4 +453,15 @@ FROM parted WHERE is_test""",
         "SELECT unnest(['polarite', 'target', 'ton']) AS axis, true AS loss_falls, true AS least_is_kept, true AS within_limit"
     ),
     "stored_evaluation": f"SELECT * FROM ({ORACLES['axis_scores']}) a, ({ORACLES['compared_counts']}) c",
+    "stored_models": f"{_PARTS} SELECT id, true AS equal FROM parted WHERE is_test",
+    "stream_counts": ORACLES["stream_distribution"],
+    "stream_predictions": "SELECT doc_id AS id, true AS equals_batch FROM documents",
+    "vocabulary_estimate": f"SELECT *, true AS within FROM ({ORACLES['vocabulary_size']})",
+    "audited_input": """
+WITH gold AS (
+    SELECT doc_id % 5 = 0 AS missing, doc_id % 3 AS blanks, quality = 0 AND toxic = 1 AS unfavourable, quality = 1 AND toxic = 1 AS mixed
+    FROM labels)
+SELECT count(*) AS rows, 0::BIGINT AS null_ids, count(*) FILTER (missing) AS null_texts, count(*) FILTER (NOT missing) AS empty_texts,
+       count(*) FILTER (unfavourable) AS bad_polariteGold, count(*) FILTER (mixed) AS bad_tonGold
+FROM gold""",
 }
