@@ -8,7 +8,9 @@ shingle sets.
 
 Buckets may hold a third of all classes, so no bucket is paired up whole. First each member meets the bucket's
 smallest member; that ties copies of one text together. Only buckets that still hold several components are searched
-further, in blocks of bounded size, and only across components: pairs inside one cannot change the result.
+further, in blocks of bounded size, and only across components: pairs inside one cannot change the result. There
+survivors are confirmed on the spot, on the full sets that come with the block, and a block writes a spanning forest of
+its links: fewer rows than members, also for a group whose pairs all come near the threshold and stay below it.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ SHINGLE = 5
 PERCENT, BANDS, ROWS = 75, 32, 4
 #: Signature positions compared between two decisions, and the chance a true pair is dropped at one.
 BATCH, MISS = 16, 1e-6
-#: Members of a bucket compared in one piece.
-BLOCK = 512
+#: Members of a bucket, and their shingles, compared in one piece.
+BLOCK, BLOCK_ITEMS = 512, 2_000_000
 #: Signatures and shingles handled at once, for bounded memory on long texts.
 PIECE = 8_192
 HASHES = BANDS * ROWS
@@ -136,18 +138,40 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Surviving pairs of different components between a block of a bucket and a block of its rest."""
+    """Confirmed links between components, from a block of a bucket and a block of its rest: a spanning forest of them.
+
+    A pair is looked at in the first band that it shares. Pairs whose components are joined already, by links of this
+    block, are passed over, so there are fewer links than members however many pairs come near the threshold.
+    """
     for pdf in batches:
         out = []
         for members in pdf["members"]:
             node = np.array([m["node"] for m in members], np.int64)
-            group = np.array([m["component"] for m in members], np.int64)
+            group = [m["component"] for m in members]
             rest = np.array([m["rest"] for m in members], bool)
+            items = [np.asarray(m["items"]) for m in members]
+            size = np.array([len(x) for x in items], np.int64)
             sign = _signs([m["sign"] for m in members])
+            bands, band = sign.reshape(-1, BANDS, ROWS), members[0]["number"]
+            above = {g: g for g in group}
+
+            def top(g: int) -> int:
+                while above[g] != g:
+                    above[g] = g = above[above[g]]
+                return g
+
             for k in np.flatnonzero(rest):
-                others = np.flatnonzero(~rest & (group != group[k]))
+                near = ~rest & (100 * np.minimum(size, size[k]) >= PERCENT * np.maximum(size, size[k]))
+                others = np.flatnonzero(near & ((bands == bands[k]).all(axis=2).argmax(axis=1) == band))
+                others = others[[top(group[x]) != top(group[k]) for x in others]] if len(others) else others
                 kept = others[surviving(np.broadcast_to(sign[k], (len(others), HASHES)), sign[others])]
-                out += [(int(min(node[k], node[x])), int(max(node[k], node[x]))) for x in kept]
+                for x in kept[np.argsort(-(sign[kept] == sign[k]).sum(axis=1), kind="stable")]:
+                    one, other = top(group[k]), top(group[x])
+                    if one != other:
+                        common = len(np.intersect1d(items[k], items[x], assume_unique=True))
+                        if 100 * common >= PERCENT * (size[k] + size[x] - common):
+                            above[one] = other
+                            out.append((int(min(node[k], node[x])), int(max(node[k], node[x]))))
         yield pd.DataFrame(out, columns=["a", "b"])
 
 
@@ -161,13 +185,18 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["node", "items"])
 
 
-def _confirm(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full shingle sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    source = classes.join(needed, "node").select("doc_id", "text_hash").distinct()
+def _shingle_sets(needed: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node``, ``items``: the full shingle sets of the classes in ``needed``."""
+    source = classes.join(needed.select("node").distinct(), "node").select("doc_id", "text_hash").distinct()
     texts = documents.join(source, documents["doc_id"].eqNullSafe(source["doc_id"]) & (documents["text_hash"] == source["text_hash"]), "left_semi")
     sets = texts.select("text").mapInPandas(_sets, "node long, items array<long>")
-    sets = materialize(sets.groupBy("node").agg(F.first("items").alias("items")), "shingle-sets")
+    return materialize(sets.groupBy("node").agg(F.first("items").alias("items")), "shingle-sets")
+
+
+def _confirm(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose full shingle sets reach the threshold."""
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    sets = _shingle_sets(needed, documents, classes)
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -191,10 +220,11 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     rows = materialize(rows, "signatures")
     # min of a struct skips no null id, so the id is taken apart: any row of the class will do for its text
     picked = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("pick")
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(picked, F.first("sign").alias("sign"), F.first("bands").alias("bands"))
-    classes = materialize(classes.select("node", "pick.doc_id", "pick.text_hash", "sign", "bands"), "classes")
+    own = [F.first(c).alias(c) for c in ("n_shingles", "sign", "bands")]
+    classes = rows.where("node IS NOT NULL").groupBy("node").agg(picked, *own)
+    classes = materialize(classes.select("node", "pick.doc_id", "pick.text_hash", "n_shingles", "sign", "bands"), "classes")
 
-    members = classes.select("node", F.explode("bands").alias("band"))
+    members = classes.select("node", "n_shingles", F.posexplode("bands").alias("number", "band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = materialize(members.join(buckets, "band"), "buckets")
     signs = classes.select("node", "sign")
@@ -208,25 +238,32 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     links = materialize(_confirm(stars, source, classes), "leader-links")
 
     found = connected_components(links)
-    placed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    by_component = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    placed = members.join(found, "node", "left")
+    placed = placed.select("band", "number", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+    by_component = placed.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("items"))
     mixed = by_component.groupBy("band").agg(
-        F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("n"), F.count("*").alias("components")
+        F.max(F.struct("n", "items", "component")).alias("big"), F.sum("n").alias("n"), F.sum("items").alias("items"), F.count("*").alias("components")
+    )
+    # a block is bounded in members and in shingles
+    blocks = lambda n, items: F.greatest(F.ceil(n / BLOCK), F.ceil(items / BLOCK_ITEMS)).cast("int")
+    mixed = mixed.where("components > 1").select(
+        "band",
+        F.col("big.component").alias("big"),
+        blocks(F.col("n"), F.col("items")).alias("all_blocks"),
+        blocks(F.col("n") - F.col("big.n"), F.col("items") - F.col("big.items")).alias("rest_blocks"),
     )
-    mixed = mixed.where("components > 1").select("band", "n", F.col("big.component").alias("big"), (F.col("n") - F.col("big.n")).alias("rest"))
     placed = placed.join(mixed, "band")
     # all members meet those outside the bucket's largest component: (block of all, block of the rest)
-    all_blocks, rest_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "rest"))
-    own_all, own_rest = (F.pmod(F.xxhash64("node", F.lit(c)), b).cast("int") for c, b in (("all", all_blocks), ("rest", rest_blocks)))
+    own_all, own_rest = (F.pmod(F.xxhash64("node", F.lit(c)), f"{c}_blocks").cast("int") for c in ("all", "rest"))
     place = lambda i, j, rest: F.struct(i.alias("i"), j.alias("j"), F.lit(rest).alias("rest"))
-    places = F.transform(F.sequence(F.lit(0), rest_blocks - 1), lambda j: place(own_all, j, False))
-    as_rest = F.transform(F.sequence(F.lit(0), all_blocks - 1), lambda i: place(i, own_rest, True))
+    places = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: place(own_all, j, False))
+    as_rest = F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda i: place(i, own_rest, True))
     places = F.when(F.col("component") == F.col("big"), places).otherwise(F.concat(places, as_rest))
-    placed = placed.select("band", "node", "component", F.explode(places).alias("place"))
-    meeting = placed.join(signs, "node").groupBy("band", "place.i", "place.j")
-    meeting = meeting.agg(F.collect_list(F.struct("node", "component", "place.rest", "sign")).alias("members")).select("members")
-    pairs = materialize(meeting.mapInPandas(_across, "a long, b long").distinct(), "block-pairs")
-    links = links.unionByName(materialize(_confirm(pairs, source, classes), "block-links"))
+    placed = materialize(placed.select("band", "number", "node", "component", F.explode(places).alias("place")), "places")
+    sets = _shingle_sets(placed, source, classes)
+    meeting = placed.join(signs, "node").join(sets, "node").groupBy("band", "place.i", "place.j")
+    meeting = meeting.agg(F.collect_list(F.struct("node", "number", "component", "place.rest", "sign", "items")).alias("members")).select("members")
+    links = links.unionByName(materialize(meeting.mapInPandas(_across, "a long, b long").distinct(), "block-links"))
 
     found = connected_components(links).join(classes.select("node", "doc_id"), "node")
     smallest = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))

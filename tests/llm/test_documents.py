@@ -143,6 +143,24 @@ def test_groups_equal_brute_force(spark, monkeypatch):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in lost) == [(0, 0, True), (0, 5, False), (5, 5, True)]
 
 
+def test_pairs_below_the_threshold_write_no_more_rows_than_members(spark, monkeypatch):
+    written = {}
+
+    def counted(df, name, store=minhash.materialize):
+        stored = store(df, name)
+        written[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    passage = " ".join(f"p{k}" for k in range(90))
+    for n in (100, 200, 400):  # similarities about two thirds, some pairs reach the threshold
+        rng = random.Random(n)
+        rows = [(k, passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(12, 24))), "x") for k in range(n)]
+        found = near_duplicates(frame(spark, rows)).collect()
+        assert len(found) == n
+        assert written["block-links"] < n and written["leader-pairs"] <= n * minhash.BANDS
+
+
 # -- toxicity
 
 
