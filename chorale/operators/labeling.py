@@ -6,8 +6,10 @@ Two plans give the same scores for every lexicon:
   one look-ahead regex shaped as a prefix tree. Each row finds its own matches
   and decides its own labels, so labelling is a pure projection: no explode, no
   join, no shuffle.
-* **joined**, for a lexicon above ``INLINE_TERMS``: spans of words are exploded
-  and joined to the lexicon table, which is broadcast only up to
+* **joined**, for a lexicon above ``INLINE_TERMS``: a word of a text is looked up
+  in an index of the first words of all terms, a bit map of fixed size that is
+  part of the plan. Only the spans that start at such a word leave the row; they
+  are joined to the lexicon table, which is broadcast only up to
   ``BROADCAST_TERMS`` counted terms and shuffled beyond that. Symbols and other
   terms that are no spans of words are counted in the row as in the inline plan.
 """
@@ -18,6 +20,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +32,9 @@ from chorale.sources.checks import require_columns
 
 INLINE_TERMS = 5_000
 BROADCAST_TERMS = 200_000
+#: Bits of the index of first words (a power of two), and terms counted in the row beside a joined lexicon.
+INDEX_BITS = 1 << 18
+COUNTED_TERMS = 1_000
 
 _SCORE_TYPE = (
     "array<struct<family:string,label:string,label_pos:int,priority:int,score:bigint>>"
@@ -174,30 +180,61 @@ def _spannable(term: Column) -> Column:
     return term.rlike(f"^{WORD}(.*{WORD})?$") & ((F.length(term) < 2) | ~shares)
 
 
+def _place(word: Column | str) -> Column:
+    return F.xxhash64(word).bitwiseAND(INDEX_BITS - 1)
+
+
+def _first_words(terms: DataFrame) -> np.ndarray:
+    """The index of the words that terms start with; its size does not grow with the lexicon."""
+    first = _place(F.regexp_extract("term", f"^{WORD}+", 0))
+    bits = terms.select(F.shiftright(first, 6).alias("at"), first.bitwiseAND(63).cast("int").alias("bit"))
+    blocks = bits.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
+    index = np.zeros(INDEX_BITS >> 6, np.int64)
+    for block in blocks:
+        index[block["at"]] = block["bits"]
+    return index
+
+
+def _candidates(clean: Column, index: np.ndarray, words: int) -> Column:
+    """Spans of up to ``words`` words that start at a word of the index; a wrong hit of the map costs a row, no more."""
+    gap = r"[^\p{L}\p{N}_]"
+    heads = F.regexp_extract_all(clean, F.lit(f"{WORD_START}({WORD}++)"), F.lit(1))
+    longest = F.lit(f"{WORD_START}(?=({WORD}++(?:{gap}++{WORD}++){{0,{words - 1}}}+))")
+    tails = F.regexp_extract_all(clean, longest, F.lit(1))
+    bits = F.lit(index)
+
+    def known(pair: Column) -> Column:
+        place = _place(pair["head"])
+        return F.bit_get(bits[F.shiftright(place, 6).cast("int")], place.bitwiseAND(63).cast("int")) == 1
+
+    pairs = F.filter(F.arrays_zip(heads.alias("head"), tails.alias("tail")), known)
+    # a span of fewer words is cut off its tail; a tail with too few words gives none
+    cut = lambda tail, n: F.regexp_extract(tail, f"^{WORD}++(?:{gap}++{WORD}++){{{n}}}", 0)
+    spans = F.flatten(F.transform(pairs, lambda p: F.array(*[cut(p["tail"], n) for n in range(words)])))
+    return F.filter(spans, lambda s: s != "")
+
+
 def score_joined(df: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``scores`` by joining text spans to the weighted terms.
 
     Rows are told apart by a number of their own, given when the corpus is
     written to the shared folder; ids may repeat. Terms that are no spans of
-    words are gathered on the driver.
+    words are counted in the row, so there may be ``COUNTED_TERMS`` of them.
     """
-    gap = r"[^\p{L}\p{N}_]"
     spanned = terms.where(_spannable(F.col("term")))
-    matcher = TermMatcher.from_rows(terms.where(~_spannable(F.col("term"))).collect())
+    others = terms.where(~_spannable(F.col("term"))).limit(COUNTED_TERMS + 1).collect()
+    if len(others) > COUNTED_TERMS:
+        raise ValueError(f"more than {COUNTED_TERMS} terms are symbols or overlap themselves")
+    matcher = TermMatcher.from_rows(others)
     shape = spanned.agg(F.count("*").alias("n"), F.max(F.regexp_count("term", F.lit(WORD + "+"))).alias("words")).first()
-    spans = [
-        F.regexp_extract_all(
-            "_clean", F.lit(f"{WORD_START}(?=({WORD}++(?:{gap}++{WORD}++){{{k}}}))"), F.lit(1)
-        )
-        for k in range(shape.words or 0)
-    ]
     rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "corpus")
     clean = rows.select("_row", normalize_text(text_col).alias("_clean")).where(F.col("_clean") != "")
     label = ["family", "label", "label_pos", "priority"]
     hits = clean.withColumn("scores", matcher.scores(F.col("_clean"), matcher.find(F.col("_clean"))))
     hits = hits.select("_row", F.inline("scores")).withColumnRenamed("score", "weight")
-    if spans:
-        found = clean.select("_row", F.explode(F.concat(*spans)).alias("term"))
+    if shape.n:
+        spans = _candidates(F.col("_clean"), _first_words(spanned), shape.words)
+        found = clean.select("_row", F.explode(spans).alias("term"))
         found = found.join(F.broadcast(spanned) if shape.n <= BROADCAST_TERMS else spanned, "term")
         hits = hits.unionByName(found.select("_row", *label, "weight"))
     scores = hits.groupBy("_row", *label).agg(F.sum("weight").alias("score")).groupBy("_row")

@@ -151,6 +151,29 @@ def label_scores_joined(spark, sf_dir):
     return labeling.score_rows(scored)
 
 
+def label_scores_large(spark, sf_dir):
+    """Documents scored with thousands of terms: all words and pairs of words of the conversations."""
+    clean = turns(spark, sf_dir).select(normalize_text("text").alias("line"))
+    found = F.regexp_extract_all("line", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    gaps = F.split("line", r"[\p{L}\p{N}_]+")
+    words = clean.select(found.alias("words"), F.slice(gaps, 2, F.size(found)).alias("gaps"))
+    following = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
+    pairs = F.filter(
+        F.arrays_zip(F.col("words").alias("a"), following.alias("b"), F.col("gaps").alias("gap")),
+        lambda p: (p["gap"] == " ") & ~F.startswith(p["a"], p["b"]),
+    )
+    terms = words.select(F.explode(F.concat("words", F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"])))).alias("term"))
+    even = F.length("term") % 2 == 0
+    lexicon = terms.distinct().select(
+        F.when(even, "polarite").otherwise("target").alias("family"),
+        F.when(even, "Favorable").otherwise("Politique").alias("label"),
+        F.lit(0).alias("label_pos"),
+        F.lit(1).alias("priority"),
+        "term",
+    )
+    return labeling.score_rows(labeling.score_corpus(documents(spark, sf_dir), lexicon))
+
+
 def labelled_messages(spark, sf_dir):
     return _labelled(spark, sf_dir).select("id", "polarite", "ton", "target")
 
@@ -627,6 +650,7 @@ QUERIES: dict[str, Query] = {
         audited_input,
         label_scores,
         label_scores_joined,
+        label_scores_large,
         labelled_messages,
         labelled_turns,
         filtered_labels,

@@ -464,4 +464,20 @@ WITH gold AS (
 SELECT count(*) AS rows, 0::BIGINT AS null_ids, count(*) FILTER (missing) AS null_texts, count(*) FILTER (NOT missing) AS empty_texts,
        count(*) FILTER (unfavourable) AS bad_polariteGold, count(*) FILTER (mixed) AS bad_tonGold
 FROM gold""",
+    "label_scores_large": rf"""
+WITH lines AS (SELECT {_norm('text')} AS line FROM conversations),
+cut AS (SELECT regexp_extract_all(line, '[\p{{L}}\p{{N}}_]+') AS words, regexp_split_to_array(line, '[\p{{L}}\p{{N}}_]+') AS gaps FROM lines),
+singles AS (SELECT unnest(words) AS term FROM cut),
+doubles AS (SELECT words[i] || ' ' || words[i + 1] AS term
+            FROM (SELECT words, gaps, unnest(range(1, len(words))) AS i FROM cut) WHERE gaps[i + 1] = ' ' AND NOT starts_with(words[i], words[i + 1])),
+terms AS (SELECT * FROM singles UNION SELECT * FROM doubles),
+clean AS (SELECT doc_id AS id, {_norm('text')} AS line FROM documents),
+runs AS (SELECT id, regexp_extract_all(line, '[\p{{L}}\p{{N}}_]+') AS words, regexp_split_to_array(line, '[\p{{L}}\p{{N}}_]+') AS gaps FROM clean),
+spans AS (
+    SELECT id, unnest(words) AS term FROM runs
+    UNION ALL SELECT id, words[i] || gaps[i + 1] || words[i + 1] AS term FROM (SELECT id, words, gaps, unnest(range(1, len(words))) AS i FROM runs)),
+hits AS (SELECT id, length(term) % 2 = 0 AS even FROM spans JOIN terms USING (term))
+SELECT id, CASE WHEN even THEN 'polarite' ELSE 'target' END AS family,
+       CASE WHEN even THEN 'Favorable' ELSE 'Politique' END AS label, count(*) AS score
+FROM hits GROUP BY id, even""",
 }
