@@ -8,8 +8,10 @@ inside a shrinking bracket, with its state in a small table in the shared folder
 
 Rates become whole copies by one threshold per source: a document is rounded up when its hash, divided by the
 fraction of its rate, stays below it. The threshold is located to a billionth by counting sizes in 1,000 bins, three
-times over. What is still owed is less than the next document; two more rounds go on from there with the documents
-that fit into it, so a source's tokens miss the target by little. Nothing is drawn at random; reruns agree.
+times over. What is then still owed is less than the next document. It is paid by documents that fit into it, largest
+sizes first: one walk over a source's distinct sizes says how many documents of each size go in, and a threshold for
+each such size says which. So no document left out would still fit. The smallest one goes in as well if that comes
+nearer. Nothing is drawn at random; reruns agree.
 
 Sums over documents are of whole numbers, so they do not depend on the order in which tasks finish.
 """
@@ -28,8 +30,8 @@ WEIGHTS, SHARE_PERCENT, CAP = (5, 2, 1), 150, 2
 ROUNDS, CLOSE, STEEPEST = 40, 1e-6, 1e5
 #: Rates are summed in so many parts of a token. Bins of one rounding pass, and passes.
 PARTS, BINS, PASSES = 1_000, 1_000, 3
-#: Rounds of rounding up; from the second on, of documents no larger than what is owed.
-TOPS = 3
+#: A rule that rounds up: spots between ``low`` and ``high``, sizes from ``least`` to ``most``.
+STEP = "struct<low:bigint,high:bigint,least:bigint,most:bigint>"
 
 
 def word_count(text: Column) -> Column:
@@ -110,40 +112,98 @@ def solve_multipliers(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "mean", "multiplier", "target")
 
 
-def _thresholds(rated: DataFrame, owed: DataFrame, nearest: bool) -> DataFrame:
-    """Per source, the ``place`` (in ``BINS ** PASSES`` parts) below which fractions are rounded up, and what is then ``due``.
+def _thresholds(rated: DataFrame, owed: DataFrame) -> DataFrame:
+    """Per ``key``, the ``place`` (in ``BINS ** PASSES`` parts) below which fractions are rounded up, and what is then ``due``.
 
-    ``owed``: tokens still to take. Each pass sums the sizes by bin, finds the
-    bin in which the debt is paid and goes on inside it. ``nearest``: the last
-    bin goes in as well if that comes nearer.
+    ``rated``: ``key``, ``size``, ``spot``; ``owed``: ``key`` and the tokens
+    ``due``. Each pass sums the sizes by bin, finds the bin in which the debt
+    is paid and goes on inside it. What shares a spot is taken whole or left.
     """
-    found = owed.select("source", F.lit(0).cast("long").alias("place"), "due")
+    found = owed.select("key", F.lit(0).cast("long").alias("place"), "due")
     for step in range(PASSES):
         width = BINS ** (PASSES - 1 - step)
-        inner = rated.alias("r").join(found.alias("f"), F.col("r.source").eqNullSafe(F.col("f.source")))
+        inner = rated.alias("r").join(found.alias("f"), F.col("r.key").eqNullSafe(F.col("f.key")))
         inner = inner.where((F.col("spot") >= F.col("place")) & (F.col("spot") < F.col("place") + width * BINS))
-        bins = inner.groupBy("f.source", F.floor((F.col("spot") - F.col("place")) / width).alias("bin")).agg(F.sum("size").alias("size"))
+        bins = inner.groupBy("f.key", F.floor((F.col("spot") - F.col("place")) / width).alias("bin")).agg(F.sum("size").alias("size"))
         # one row per bin, 1,000 at most in a window
-        so_far = F.sum("size").over(Window.partitionBy("source").orderBy("bin"))
-        bins = bins.select(F.col("source").alias("of"), "bin", "size", so_far.alias("through"))
-        paid = found.join(bins, F.col("source").eqNullSafe(F.col("of")), "left")
+        so_far = F.sum("size").over(Window.partitionBy("key").orderBy("bin"))
+        bins = bins.select(F.col("key").alias("of"), "bin", so_far.alias("through"))
+        paid = found.join(bins, F.col("key").eqNullSafe(F.col("of")), "left")
         before = F.max(F.when(F.col("through") <= F.col("due"), F.col("through")))
-        inside = F.min(F.when(F.col("through") > F.col("due"), F.struct("bin", "size")))
-        paid = paid.groupBy("source", "place", "due").agg(before.alias("before"), inside.alias("inside"))
+        inside = F.min(F.when(F.col("through") > F.col("due"), F.col("bin")))
+        paid = paid.groupBy("key", "place", "due").agg(before.alias("before"), inside.alias("inside"))
         rest = F.col("due") - F.coalesce("before", F.lit(0))
-        reached = F.coalesce("inside.bin", F.lit(BINS))
-        if nearest and step == PASSES - 1:
-            reached = reached + F.when(F.col("inside.size") < 2 * rest, F.lit(1)).otherwise(F.lit(0))
-        found = paid.select("source", (F.col("place") + reached * width).alias("place"), rest.alias("due"))
+        found = paid.select("key", (F.col("place") + F.coalesce("inside", F.lit(BINS)) * width).alias("place"), rest.alias("due"))
         found = materialize(found, "thresholds")
     return found
 
 
-def _rounded_up(rounds: int) -> Column:
-    up = F.col("spot") < F.col("place0")
-    for top in range(1, rounds):
-        up = up | ((F.col("spot") < F.col(f"place{top}")) & (F.col("size") <= F.col(f"due{top - 1}")))
-    return F.coalesce(up, F.lit(False))
+def _step(low: Column, high: Column, least: Column, most: Column) -> Column:
+    names = ("low", "high", "least", "most")
+    return F.struct(*[c.cast("long").alias(n) for n, c in zip(names, (low, high, least, most), strict=True)])
+
+
+def _rounded_up(steps: Column) -> Column:
+    """Whether a row of ``size`` and ``spot`` lies in one of the steps."""
+    spot, size = F.col("spot"), F.col("size")
+    inside = F.exists(steps, lambda s: (spot > s["low"]) & (spot < s["high"]) & (size >= s["least"]) & (size <= s["most"]))
+    return F.coalesce(inside, F.lit(False))
+
+
+def _largest_first(sizes: DataFrame) -> DataFrame:
+    """``source``, ``size``, ``due``: how many tokens of each size a source still takes.
+
+    ``sizes``: ``source``, ``due``, ``size``, ``rows`` with no size above the
+    debt. A source's list is as long as it has distinct sizes below the first
+    document that did not fit, and so bounded by the longest text. Of the sizes taken
+    there are at most ``sqrt(2 * due)``, since together they pay the debt.
+    """
+    descending = F.sort_array(F.collect_list(F.struct("size", "rows")), asc=False)
+    listed = sizes.groupBy("source", "due").agg(descending.alias("sizes"))
+    start = F.struct(F.col("due").alias("left"), F.array().cast("array<struct<size:bigint,due:bigint>>").alias("taken"))
+
+    def take(state: Column, entry: Column) -> Column:
+        paid = F.least(entry["rows"], F.floor(state["left"] / entry["size"]).cast("long")) * entry["size"]
+        more = F.array_append(state["taken"], F.struct(entry["size"].alias("size"), paid.alias("due")))
+        return F.struct((state["left"] - paid).alias("left"), F.when(paid > 0, more).otherwise(state["taken"]).alias("taken"))
+
+    taken = listed.select("source", F.explode(F.aggregate("sizes", start, take)["taken"]).alias("t"))
+    return taken.select("source", "t.size", "t.due")
+
+
+def _round_up(open_: DataFrame, owed: DataFrame) -> DataFrame:
+    """Per ``source``, the ``steps`` that round documents up: ``open_`` (``source``, ``size``, ``spot``), ``owed`` (``source``, ``due``)."""
+    beyond, none = F.lit((1 << 62)), F.lit(-1)
+    one = F.struct("source").alias("key")
+    swept = _thresholds(open_.select(one, "size", "spot"), owed.select(one, "due"))
+    swept = swept.select(F.col("key.source").alias("of"), "place", "due")
+    steps = swept.select("of", _step(none, F.col("place"), F.lit(1), beyond).alias("step"))
+
+    left = open_.join(swept, F.col("source").eqNullSafe(F.col("of")))
+    fits = left.where((F.col("spot") >= F.col("place")) & (F.col("size") <= F.col("due"))).select("source", "size", "spot", "due")
+    fits = materialize(fits, "fitting-sizes")
+    chosen = materialize(_largest_first(fits.groupBy("source", "due", "size").agg(F.count("*").alias("rows"))), "chosen-sizes")
+    both = F.struct("source", "size").alias("key")
+    found = _thresholds(fits.select(both, "size", "spot"), chosen.select(both, "due"))
+    found = found.select(F.col("key.source").alias("of"), F.col("key.size").alias("size"), "place", F.col("due").alias("unpaid"))
+    steps = steps.unionByName(found.select("of", _step(none, F.col("place"), F.col("size"), F.col("size")).alias("step")))
+
+    paid = chosen.groupBy("source").agg(F.sum("due").alias("meant"))
+    unpaid = found.groupBy(F.col("of").alias("with")).agg(F.sum("unpaid").alias("unpaid"))
+    paid = paid.join(unpaid, F.col("source").eqNullSafe(F.col("with"))).select(F.col("source").alias("payer"), (F.col("meant") - F.col("unpaid")).alias("paid"))
+    swept = swept.join(paid, F.col("of").eqNullSafe(F.col("payer")), "left")
+    rest = swept.select("of", (F.col("due") - F.coalesce("paid", F.lit(0))).alias("rest"))
+    gathered = steps.groupBy(F.col("of").alias("payer")).agg(F.collect_list("step").alias("steps"))
+    rest = materialize(rest.join(gathered, F.col("of").eqNullSafe(F.col("payer"))).select("of", "rest", "steps"), "steps")
+
+    # a group of equal rows beyond the debt, but nearer to it than nothing
+    near = open_.join(rest, F.col("source").eqNullSafe(F.col("of"))).where(F.col("size") < 2 * F.col("rest"))
+    near = near.where(~_rounded_up(F.col("steps"))).groupBy("source", "rest", "size", "spot").agg(F.sum("size").alias("weight"))
+    near = near.where(F.col("weight") < 2 * F.col("rest")).groupBy("source").agg(F.min(F.struct("weight", "spot", "size")).alias("m"))
+    last = _step(F.col("m.spot") - 1, F.col("m.spot") + 1, F.col("m.size"), F.col("m.size"))
+    near = near.select(F.col("source").alias("payer"), F.array(last).alias("last"))
+    steps = F.concat("steps", F.coalesce("last", F.array().cast(f"array<{STEP}>")))
+    return rest.join(near, F.col("of").eqNullSafe(F.col("payer")), "left").select(F.col("of").alias("source"), steps.alias("steps"))
 
 
 #: Sources whose state is broadcast; more are joined by a shuffle.
@@ -154,8 +214,8 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """``documents`` with a struct added: ``size``, ``source_size``, ``target``, ``rate``, ``copies``.
 
     Sizes are words. Null texts have size 0; empty documents keep one copy, which takes nothing. A full source takes
-    ``CAP`` copies of each document, a source without words has target 0. Repeated rows get equal copies. An empty
-    table gives an empty result. A column named ``out`` is replaced. The texts are not shuffled.
+    ``CAP`` copies of each document, a source without words has target 0. Repeated rows get equal copies; where they
+    would overshoot together, all of them are left out. An empty table gives an empty result. A column named ``out`` is replaced. The texts are not shuffled.
     """
     size, drawn = word_count(F.col(text)), F.xxhash64(doc_id, text)
     drawn = (F.pmod(drawn, F.lit(1 << 40)) + 1) / float(1 << 40)
@@ -167,28 +227,21 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     solved = solved.select(F.col("source").alias("of"), "mean", "multiplier", "target")
     rate = _rate(F.col("multiplier"), F.col("size"), F.col("mean"))
     fraction = F.col("rate") - F.floor("rate")
-    spot = F.when(fraction > 0, F.floor(F.col("drawn") / (F.col("drawn") + fraction) * float(BINS**PASSES)))
+    spot = F.floor(F.col("drawn") / (F.col("drawn") + fraction) * float(BINS**PASSES))
+    spot = F.when(fraction > 0, F.least(spot, F.lit(BINS**PASSES - 1)))
     rated = sized.where("size > 0").join(solved, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)
     rated = rated.select("source", "size", "target", F.floor("rate").alias("whole"), spot.alias("spot"))
     debt = rated.groupBy("source", "target").agg(F.sum(F.col("size") * F.col("whole")).alias("sure"))
     owed = debt.select("source", F.floor(F.col("target") - F.col("sure")).cast("long").alias("due"))
-    open_ = rated.where("spot IS NOT NULL")
-    places, eligible = None, open_
-    for top in range(TOPS):
-        found = _thresholds(eligible, owed, nearest=top == TOPS - 1)
-        found = found.select(F.col("source").alias(f"of{top}"), F.col("place").alias(f"place{top}"), F.col("due").alias(f"due{top}"))
-        same = None if places is None else places["of0"].eqNullSafe(found[f"of{top}"])
-        places = found if places is None else places.join(found, same).drop(f"of{top}")
-        owed = places.select(F.col("of0").alias("source"), F.col(f"due{top}").alias("due"))
-        eligible = open_.join(places, F.col("source").eqNullSafe(F.col("of0"))).where(~_rounded_up(top + 1))
-        eligible = eligible.where(F.col("size") <= F.col(f"due{top}")).select("source", "size", "spot")
+    steps = _round_up(rated.where("spot IS NOT NULL").select("source", "size", "spot"), materialize(owed, "debts"))
+    steps = steps.withColumnRenamed("source", "payer")
 
     state = targets.join(solved.drop("target"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of", "rows")
-    state = state.join(places, F.col("source").eqNullSafe(F.col("of0")), "left").drop("of0")
+    state = state.join(steps, F.col("source").eqNullSafe(F.col("payer")), "left").drop("payer")
     state = materialize(state.withColumnRenamed("source", "of"), "mixing-state")
     full = F.col("mean").isNull() & (F.col("target") > 0)
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(full, F.lit(float(CAP))).otherwise(F.coalesce(rate, F.lit(0.0)))
-    up = F.when((F.col("size") > 0) & _rounded_up(TOPS), F.lit(1)).otherwise(F.lit(0))
+    up = F.when((F.col("size") > 0) & _rounded_up(F.col("steps")), F.lit(1)).otherwise(F.lit(0))
     copies = F.least(F.floor("rate").cast("int") + up, F.lit(CAP))
 
     # names of the state could clash with the caller's columns, so these travel in one struct
@@ -197,5 +250,5 @@ def mix_sources(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     if state.count() <= BROADCAST_SOURCES:
         state = F.broadcast(state)
     mixed = rows.join(state, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)
-    mixed = mixed.withColumn("spot", F.when(F.col("place0").isNotNull(), spot)).withColumn("copies", copies)
+    mixed = mixed.withColumn("spot", F.when(F.col("steps").isNotNull(), spot)).withColumn("copies", copies)
     return mixed.select("kept.*", F.struct("size", "source_size", "target", "rate", "copies").alias(out))
