@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from chorale.llm.common import materialize, small_batches, unclashed
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Labelled documents and words that the classifier is fitted on at most; both bound what is broadcast.
-MAX_LABELLED, MAX_WORDS = 200_000, 50_000
+#: Labelled documents that the classifier is fitted on at most. This bounds the model as well: it holds no other words
+#: than theirs, and of these only such as occur often enough to be evidence.
+MAX_LABELLED = 200_000
 PRIOR, Z, DRIFT, FLOOR = 0.1, 3.0, -0.05, -1.0
 #: Log-odds that a word must exceed: a language or topic that is merely more often toxic stays silent.
 MARGIN = 0.6
@@ -159,8 +160,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, *, text: str = "text")
     odds = F.log((F.col("toxic") + prior) / (n_toxic * mass)) - F.log((F.col("clean") + prior) / (n_clean * mass))
     sd = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     bound = F.when(odds > 0, F.greatest(odds - Z * sd - MARGIN, F.lit(0))).otherwise(F.least(odds + Z * sd + MARGIN, F.lit(0)))
-    heavy = counts.select("word", bound.alias("w"), ((F.col("clean") + prior) / (n_clean * mass)).alias("p"), (F.abs(odds) / sd).alias("z"))
-    heavy = heavy.where("w != 0").orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect()
+    heavy = counts.select("word", bound.alias("w"), ((F.col("clean") + prior) / (n_clean * mass)).alias("p"))
+    heavy = heavy.where("w != 0").orderBy("word").collect()
     weights = {r["word"]: max(FLOOR, r["w"]) for r in heavy}
     gain = sum(r["p"] * max(0.0, weights[r["word"]]) for r in heavy)
     drift = min(DRIFT, -2 * gain)  # clean text must lose on average, or segments would never end
