@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
@@ -34,6 +34,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +49,46 @@ SCALE, PENALTY = 1000, 10
 NEVER = -(1 << 60)
 #: Longest stretch that is solved together with others and remembered, and how many are solved together.
 WIDE, TOGETHER = 48, 20_000
-Solved = tuple[list[int], int]
 STRETCHES = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
+class Memory:
+    """Ids of the stretches a worker has solved, one run of a flat array each.
+
+    When there is no room left, those asked for again since the last clearing stay, if they fill at most half of it.
+    """
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.sizes, self.begins = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)
+
+    def spell(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at these places in a row, and how many each has."""
+        sizes = self.sizes[places]
+        shift = self.begins[places] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+
+    def make_room(self, asked: set[str], new: int) -> None:
+        """See to it that ``new`` more fit; what is asked for now stays."""
+        if len(self.place) + new <= REMEMBERED:
+            return
+        names = list(self.place)
+        stay = self.again if int(self.again.sum()) <= REMEMBERED // 2 else np.zeros(len(names), bool)
+        stay = np.flatnonzero(stay | np.fromiter((s in asked for s in names), bool, len(names)))
+        flat, sizes = self.spell(stay)
+        self.place, self.flat, self.sizes = {}, flat[:0], sizes[:0]
+        self.add([names[i] for i in stay.tolist()], flat, sizes)
+
+    def add(self, stretches: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        before = len(self.place)
+        self.place.update(zip(stretches, range(before, before + len(stretches)), strict=True))
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.again = np.concatenate([self.again[:before], np.zeros(len(stretches), bool)])
+
+
 @dataclass
 class Vocabulary:
     """Pieces of a model with whole-number scores."""
@@ -65,8 +102,7 @@ class Vocabulary:
     unknown: int = 0
     #: Every start of a piece, with the piece's score or, of a mere start, None.
     starts: dict[str, int | None] = field(default_factory=dict)
-    memory: dict[str, list[int]] = field(default_factory=dict)
-    totals: dict[str, int] = field(default_factory=dict)
+    memory: Memory = field(default_factory=lambda: Memory())
     texts: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -95,7 +131,7 @@ class Vocabulary:
         )
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memory": {}, "totals": {}}
+        return self.__dict__ | {"memory": Memory()}
 
     def paths(self, text: str, entry: list[int], stop: int) -> tuple[list[int], list[int]]:
         """Best score and last start of every position, from ``entry`` scores, by pieces that start before ``stop``."""
@@ -132,74 +168,96 @@ class Vocabulary:
             at = came[at]
         return [i for part in reversed(out) for i in part], at
 
-    def solve(self, stretches: list[str]) -> dict[str, Solved]:
-        """Ids and scores of many distinct stretches, all advanced together one character at a time."""
-        long = [s for s in stretches if len(s) > WIDE or "\0" in s]
-        out = {}
-        for s in long:
-            best, came = self.paths(s, [0], len(s))
-            out[s] = self.trace(s, came, len(s))[0], best[len(s)]
-        rest = sorted((s for s in stretches if len(s) <= WIDE and "\0" not in s), key=len, reverse=True)
-        for at in range(0, len(rest), TOGETHER):
-            self._solve_together(rest[at : at + TOGETHER], out)
-        return out
+    def solve(self, stretches: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct stretches in the order solved, their ids in a row, and how many each has.
 
-    def _solve_together(self, stretches: list[str], out: dict[str, Solved]) -> None:
-        """Longest first, so that those still going on at a position stand in front."""
+        All but very long ones advance together, one character at a time.
+        """
         lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
-        wide = int(lengths[0])
-        chars = np.array(stretches, f"<U{wide}").view(np.uint32).reshape(-1, wide).astype(np.int64)
-        best = np.full((len(stretches), wide + 1), NEVER, np.int64)
-        best[:, 0] = 0
-        came = np.zeros((len(stretches), wide + 1), np.int64)
-        piece = np.zeros((len(stretches), wide + 1), np.int64)
-        keys, scores, ids = self.trie
-
-        def offer(rows: np.ndarray, p: int, q: int, score, own) -> None:
-            total = best[rows, p] + score
-            better = total > best[rows, q]
-            rows = rows[better]
-            best[rows, q], came[rows, q], piece[rows, q] = total[better], p, own[better]
-
+        order = [stretches[i] for i in np.argsort(-lengths, kind="stable").tolist()]
+        alone = [s for s in order if len(s) > WIDE or "\0" in s]
+        rest = [s for s in order if len(s) <= WIDE and "\0" not in s]
+        names, flats, counts = [], [], []
+        for at in range(0, len(rest), TOGETHER):
+            part = rest[at : at + TOGETHER]
+            flat, sizes, odd = self._solve_together(part)
+            alone += [part[i] for i in np.flatnonzero(odd).tolist()]
+            names += [part[i] for i in np.flatnonzero(~odd).tolist()] if odd.any() else part
+            flats.append(flat)
+            counts.append(sizes[~odd])
+        for s in alone:
+            own = self.trace(s, self.paths(s, [0], len(s))[1], len(s))[0]
+            names.append(s)
+            flats.append(np.array(own, np.int64))
+            counts.append(np.array([len(own)], np.int64))
+        return names, np.concatenate(flats), np.concatenate(counts)
+
+    def _solve_together(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a row, their number, and which stretches are left out: those with a character that becomes several bytes.
+
+        ``stretches``: longest first, so that those still going on at a position stand in front. Arrays run along the
+        stretches, one for each position. A stretch ends in zeros, which no piece holds.
+        """
+        n, wide = len(stretches), len(stretches[0])
+        chars = np.ascontiguousarray(np.array(stretches, f"<U{wide}").view(np.uint32).reshape(n, wide).T).astype(np.int64)
+        best = np.full((wide + 1, n), NEVER, np.int64)
+        best[0] = 0
+        came = np.zeros((wide + 1, n), np.int64)
+        piece = np.zeros((wide + 1, n), np.int64)
+        keys, scores, ids, grows, roots = self.trie
         for p in range(wide):
-            alive = np.arange(int(np.searchsorted(-lengths, -p, "left")))
-            node = np.zeros(len(alive), np.int64)
-            for q in range(p + 1, min(p + self.reach, wide) + 1):
-                on = lengths[alive] >= q
-                alive, node = alive[on], node[on]
-                wanted = (node << 21) | chars[alive, q - 1]
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                on = keys[at] == wanted
-                whole = on & (scores[at] > NEVER)
-                offer(alive[whole], p, q, scores[at[whole]], ids[at[whole]])
-                if q == p + 1:  # no piece of this one character: it becomes bytes
-                    lone = alive[~whole]
-                    code = chars[lone, p]
-                    offer(lone, p, q, self.unknown, np.where(code < 128, self.byte_ids[0] + code, -1))
-                alive, node = alive[on], at[on] + 1
-                if not len(alive):
+            code = chars[p][: int(np.count_nonzero(chars[p]))]
+            m, here = len(code), best[p]
+            at = roots[np.minimum(code, len(roots) - 1)]
+            score, own = scores[at], ids[at]
+            lone = score == NEVER  # no piece of this one character: it becomes bytes
+            score[lone], own[lone] = self.unknown, np.where(code[lone] < 128, self.byte_ids[0] + code[lone], -1)
+            total = here[:m] + score
+            better = total > best[p + 1, :m]
+            for table, value in ((best, total), (came, p), (piece, own)):
+                np.copyto(table[p + 1, :m], value, where=better)
+            rows = np.flatnonzero(grows[at])
+            at = at[rows]
+            for q in range(p + 2, min(p + self.reach, wide) + 1):
+                if not len(rows):
                     break
-        rows, at, steps = np.arange(len(stretches)), lengths.copy(), []
+                wanted = ((at + 1) << 21) | chars[q - 1][rows]
+                at = np.searchsorted(keys, wanted)
+                on = np.flatnonzero(keys[at] == wanted)
+                rows, at = rows[on], at[on]
+                score = scores[at]
+                total = here[rows] + score
+                better = np.flatnonzero((score > NEVER) & (total > best[q][rows]))
+                to = rows[better]
+                best[q, to], came[q, to], piece[q, to] = total[better], p, ids[at[better]]
+                on = grows[at]
+                rows, at = rows[on], at[on]
+        at = np.count_nonzero(chars, axis=0)
+        rows, steps = np.arange(n), []
+        sizes, odd = np.zeros(n, np.int64), np.zeros(n, bool)
         while len(rows):
-            own = np.full(len(stretches), -2, np.int64)
-            own[rows] = piece[rows, at[rows]]
-            steps.append(own)
-            at[rows] = came[rows, at[rows]]
-            rows = rows[at[rows] > 0]
-        table = np.stack(steps[::-1], axis=1)
-        totals = best[np.arange(len(stretches)), lengths].tolist()
-        spelled = (table == -1).any(axis=1).tolist()
-        skipped = (table == -2).sum(axis=1).tolist()
-        for s, ids_, skip, bytes_, total in zip(stretches, table.tolist(), skipped, spelled, totals, strict=True):
-            if bytes_:  # a character of several bytes outside the vocabulary
-                _, back = self.paths(s, [0], len(s))
-                out[s] = self.trace(s, back, len(s))[0], total
-            else:
-                out[s] = tuple(ids_[skip:]), total
+            own = piece[at, rows]
+            sizes[rows] += 1
+            odd[rows[own < 0]] = True
+            steps.append((rows, own))
+            at = came[at, rows]
+            on = at > 0
+            rows, at = rows[on], at[on]
+        sizes[odd] = 0
+        ends = np.cumsum(sizes)
+        flat = np.empty(int(ends[-1]), np.int64)
+        for k, (rows, own) in enumerate(steps):
+            on = ~odd[rows]
+            flat[ends[rows[on]] - 1 - k] = own[on]
+        return flat, sizes, odd
 
     @cached_property
-    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys (node, character), and score and id of the piece that ends there; a node is its key's place + 1."""
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys (node, character), score and id of the piece that ends there, and whether a piece goes on there.
+
+        A node is its key's place + 1. The last array gives each character's place below the root. The place behind
+        all keys stands for no piece.
+        """
         level, found = {"": 0}, []
         by_length: dict[int, list[str]] = {}
         for start in self.starts:
@@ -213,27 +271,71 @@ class Vocabulary:
                 found.append((key, self.starts[s], self.ids.get(s, -1)))
                 place += 1
                 level[s] = place
+        none = len(found)
+        found.append((np.iinfo(np.int64).max, None, -1))
         keys = np.array([k for k, *_ in found], np.int64)
-        return keys, np.array([NEVER if s is None else s for _, s, _ in found], np.int64), np.array([i for *_, i in found], np.int64)
+        grows = np.zeros(len(keys), bool)
+        above = keys[:none] >> 21
+        grows[above[above > 0] - 1] = True
+        first = keys[:none][above == 0]
+        roots = np.full(int(first.max(initial=0)) + 2, none, np.int64)
+        roots[first] = np.arange(len(first))
+        scores = np.array([NEVER if s is None else s for _, s, _ in found], np.int64)
+        return keys, scores, np.array([i for *_, i in found], np.int64), grows, roots
 
-    def learn(self, stretches: Iterable[str]) -> None:
-        """See to it that all these stretches are remembered, with their ids and score."""
-        asked = set(stretches)
-        new = asked.difference(self.memory)
-        if len(self.memory) + len(new) > REMEMBERED:
-            self.memory, self.totals, new = {}, {}, asked
-        for s, (ids, total) in self.solve(list(new)).items():
-            self.memory[s], self.totals[s] = ids, total
+    @cached_property
+    def worth(self) -> np.ndarray:
+        """Score of each id; of a character's bytes the first one has it."""
+        out = np.zeros(len(self.pieces), np.int64)
+        for piece, i in self.ids.items():
+            out[i] = self.scores[piece]
+        for b, i in enumerate(self.byte_ids):
+            out[i] = 0 if 128 <= b < 192 else self.unknown
+        return out
+
+    def spelled(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these stretches in a row, and how many each has. What is solved is remembered."""
+        asked, memory = set(stretches), self.memory
+        new = asked.difference(memory.place)
+        if new:
+            memory.make_room(asked, len(new))
+            memory.add(*self.solve(list(new)))
+        places = np.fromiter(map(memory.place.__getitem__, stretches), np.int64, len(stretches))
+        memory.again[places[places < len(memory.place) - len(new)]] = True
+        return memory.spell(places)
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text in one piece."""
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tolist()
 
-    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of whole texts."""
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts in a row, and how many each has."""
         cut = [(STRETCHES.findall(normalize(t)) if self.cuts else [normalize(t)]) if t else [] for t in texts]
-        self.learn(chain.from_iterable(cut))
-        return [list(chain.from_iterable(map(self.memory.__getitem__, parts))) for parts in cut]
+        flat, sizes = self.spelled(list(chain.from_iterable(cut)))
+        ends = np.cumsum([0, *map(len, cut)])
+        sums = np.concatenate([[0], np.cumsum(sizes)])[ends]
+        return flat, np.diff(sums)
+
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids; null and empty lists give the empty text."""
+        flat = lists.flatten()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, self.spellings.take(flat)), "")
+        joined = pc.replace_substring_regex(joined, r"\A ", "", max_replacements=1)
+        ids, first = flat.to_numpy(), self.byte_ids[0]
+        odd = np.flatnonzero((ids >= first + 128) & (ids < first + 256))
+        if not len(odd):
+            return joined
+        rows = np.unique(np.searchsorted(offsets, odd, "right") - 1)
+        out = joined.to_pylist()
+        for i in rows.tolist():
+            out[i] = self.decode(ids[offsets[i] : offsets[i + 1]])
+        return pa.array(out, pa.string())
+
+    @cached_property
+    def spellings(self) -> pa.Array:
+        return pa.array(self.texts, pa.string())
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that form no character become the replacement character."""
@@ -270,7 +372,7 @@ class Vocabulary:
         first, last = self._ends(chunk, size)
         return STRETCHES.findall(chunk[first:last]) if first >= 0 else []
 
-    def transfer(self, chunk: str, size: int) -> tuple[np.ndarray, str, str, list[int]]:
+    def transfer(self, chunk: str, size: int) -> tuple[np.ndarray, str, str, np.ndarray]:
         """The chunk's matrix: best score from each entry state (row) to each exit state (column).
 
         Also what the states leave open: the text before the first cut, the
@@ -285,16 +387,16 @@ class Vocabulary:
                 out[i] = best[size : size + self.reach] if i < size else out[i]
                 if i >= size:
                     out[i, i - size] = 0
-            return out, chunk, "", []
+            return out, chunk, "", np.zeros(0, np.int32)
         parts = self.inner(chunk, size)
-        self.learn(parts)
-        middle = sum(map(self.totals.__getitem__, parts))
+        ids, _ = self.spelled(parts)
+        middle = int(self.worth[ids].sum())
         tail = np.array(self.paths(chunk[last:], [0], size - last)[0][size - last : size - last + self.reach])
         for i in range(min(first, self.reach - 1) + 1):
             head = self.paths(chunk[:first], [NEVER] * i + [0], first)[0][first]
             if head > NEVER // 2:
                 out[i] = np.where(tail > NEVER // 2, tail + head + middle, NEVER)
-        return out, chunk[:first], chunk[last:], list(chain.from_iterable(map(self.memory.__getitem__, parts)))
+        return out, chunk[:first], chunk[last:], ids
 
     def entries(self, head: str, closed: bool, size: int, reached: list[int]) -> list[int]:
         """For each exit state, the entry state that its best path comes from, given the score of each entry state.
@@ -356,7 +458,7 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, length: int) -> DataF
     def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            vocabulary.learn(s for c, size in zip(pdf["chunk"], pdf["size"], strict=True) for s in vocabulary.inner(c, size))
+            vocabulary.spelled([s for c, size in zip(pdf["chunk"], pdf["size"], strict=True) for s in vocabulary.inner(c, size)])
             for chunk, size in zip(pdf["chunk"], pdf["size"], strict=True):
                 matrix, head, tail, middle = vocabulary.transfer(chunk, size)
                 rows.append((matrix.ravel(), head, tail, middle, tail != "" or len(head) < len(chunk), len(chunk) - size))
@@ -428,10 +530,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | None = None, *, text:
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = vocabulary.encode_all(batch.column(place).to_pylist())
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+            flat, sizes = vocabulary.encode_all(batch.column(place).to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, flat)], [*batch.schema.names, out])
 
     length = F.coalesce(F.length(text), F.lit(0))
@@ -447,8 +547,8 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, *, ids: str
     vocabulary = vocabulary or Vocabulary.load()
     small_batches(encoded.sparkSession, 250)
 
-    @F.pandas_udf("string")
-    def spell(column: pd.Series) -> pd.Series:
-        return pd.Series([vocabulary.decode(() if x is None else x) for x in column])
+    @F.arrow_udf("string")
+    def spell(column: pa.Array) -> pa.Array:
+        return vocabulary.decode_all(column)
 
     return unclashed(encoded, [out]).withColumn(out, spell(F.col(f"`{ids}`")))

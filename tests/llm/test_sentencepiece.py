@@ -3,9 +3,12 @@
 import random
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
+from chorale.llm import sentencepiece as module
 from chorale.llm.sentencepiece import MODEL, Vocabulary, compose, decode, encode, normalize
 
 TEXTS = [
@@ -108,8 +111,6 @@ def test_best_score_by_brute_force(vocabulary):
 
 
 def test_scan_is_associative(vocabulary):
-    import numpy as np
-
     rng = np.random.default_rng(1)
     stack = rng.integers(-50, 0, (7, 3, 3))
     out, product = compose(stack), stack[0]
@@ -118,6 +119,25 @@ def test_scan_is_associative(vocabulary):
         assert (out[k] == product).all()
 
 
+def test_memory_keeps_what_is_asked_again(vocabulary, monkeypatch):
+    monkeypatch.setattr(module, "REMEMBERED", 40)
+    fresh, rng = Vocabulary.load(), random.Random(9)
+    for _ in range(30):
+        texts = ["common " * 3 + "".join(rng.choice("abthe 😀") for _ in range(rng.randint(0, 60))) for _ in range(3)]
+        flat, sizes = fresh.encode_all([*texts, None, ""])
+        assert [flat[e - n : e].tolist() for n, e in zip(sizes, np.cumsum(sizes), strict=True)] == [vocabulary.encode(t) for t in [*texts, "", ""]]
+        assert f"{module.MARK}common" in fresh.memory.place
+    assert len(fresh.memory.place) < 300  # never more than the bound and one batch
+
+
+def test_lists_decode_together(vocabulary):
+    texts = ["plain text", "", "  two", "é😀 of bytes", "\n first", " "]
+    lists = pa.array([[1], None, *map(vocabulary.encode, texts)], pa.list_(pa.int32()))
+    for part in (lists, lists[2:], lists[:2], lists[:0]):
+        assert vocabulary.decode_all(part).to_pylist() == [vocabulary.decode(x or ()) for x in part.to_pylist()]
+    assert vocabulary.decode_all(lists[2:]).to_pylist() == texts
+
+
 def test_chunks_equal_the_whole_and_round_trip(spark, vocabulary):
     rng = random.Random(5)
     texts = TEXTS + ["".join(rng.choice("abthe  in😀é") for _ in range(rng.randint(20, 400))) for _ in range(25)]
