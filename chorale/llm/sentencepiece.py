@@ -409,19 +409,19 @@ class Vocabulary:
             return [self.trace(head, came, stop)[1]] * self.reach
         return [self.trace(head, came, size + j)[1] for j in range(self.reach)]
 
-    def spell(self, head: str, tail: str, middle: list[int], closed: bool, size: int, reached: list[int], ahead: int, leave: int) -> list[int]:
-        """Ids of the pieces that start in the chunk on the best path to exit state ``leave``.
+    def spell(self, head: str, tail: str, closed: bool, size: int, reached: list[int], ahead: int, leave: int) -> tuple[list[int], list[int]]:
+        """Ids of the pieces that start in the chunk on the best path to exit state ``leave``, up to its first cut and from its last.
 
         ``ahead``: characters of the tail that belong to the next chunk.
         """
         stop = len(head) if closed else size
         _, came = self.paths(head, reached[: stop + 1] if closed else reached, stop)
         if not closed:
-            return self.trace(head, came, size + leave)[0]
-        out = self.trace(head, came, stop)[0] + middle
+            return self.trace(head, came, size + leave)[0], []
+        before = self.trace(head, came, stop)[0]
         own = len(tail) - ahead
         _, came = self.paths(tail, [0], own)
-        return out + self.trace(tail, came, own + leave)[0]
+        return before, self.trace(tail, came, own + leave)[0]
 
 
 def normalize(text: str) -> str:
@@ -484,7 +484,7 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, length: int) -> DataF
 
     reached = parts(solved, "matrix").mapInPandas(scan, f"{key}, k int, reached array<long>")
     reached = materialize(reached, "reached")
-    ends = solved.drop("matrix").join(reached, ["text_hash", "n", "k"])
+    ends = solved.drop("matrix", "middle").join(reached, ["text_hash", "n", "k"])
 
     def come(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -500,18 +500,21 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, length: int) -> DataF
                     leave = int(p["entry"][leave])
                 yield pd.DataFrame({"text_hash": text_hash, "n": n, "k": [p["k"] for p in own], "leave": leaves[::-1]})
 
-    came = ends.drop("tail", "middle").mapInPandas(come, f"{key}, k int, entry array<int>")
+    came = ends.drop("tail").mapInPandas(come, f"{key}, k int, entry array<int>")
     leaves = materialize(parts(came, "entry").mapInPandas(follow, f"{key}, k int, leave int"), "leaves")
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids = [
-                vocabulary.spell(r.head, r.tail, r.middle.tolist(), r.closed, r.size, r.reached.tolist(), r.ahead, r.leave)
-                for r in pdf.itertuples(index=False)
+            rows = [
+                vocabulary.spell(r.head, r.tail, r.closed, r.size, r.reached.tolist(), r.ahead, r.leave) for r in pdf.itertuples(index=False)
             ]
-            yield pdf[["text_hash", "n", "k"]].assign(ids=ids)
+            yield pdf[["text_hash", "n", "k"]].assign(before=[b for b, _ in rows], after=[a for _, a in rows])
 
-    spelled = ends.join(leaves, ["text_hash", "n", "k"]).mapInPandas(spell, f"{key}, k int, ids array<int>")
+    edges = ends.join(leaves, ["text_hash", "n", "k"]).mapInPandas(spell, f"{key}, k int, before array<int>, after array<int>")
+    # what lies between a chunk's cuts is the bulk: it moves once, to its text
+    at = lambda place, ids: F.struct((F.col("k") * 3 + place).alias("k"), F.col(ids).alias("ids"))
+    spelled = edges.select("text_hash", "n", F.inline(F.array(at(0, "before"), at(2, "after"))))
+    spelled = spelled.unionByName(solved.select("text_hash", "n", at(1, "middle").alias("p")).select("text_hash", "n", "p.*"))
     whole = parts(spelled, "ids")
     return materialize(whole.select("text_hash", "n", F.flatten("parts.ids").alias("ids")), "long-ids")
 
