@@ -258,9 +258,8 @@ def tfidf_vectors(spark, sf_dir):
 def stored_vocabulary(spark, sf_dir):
     """A vocabulary learned on the turns, saved and loaded."""
     path = scratch_path(spark, "stored-vocabulary")
-    params = tfidf.TfidfParams(max_features=2_000)
-    tfidf.TfidfModel.fit(turns(spark, sf_dir), params=params).save(path)
-    loaded = tfidf.TfidfModel.load(spark, path, params).vocabulary
+    tfidf.TfidfModel.fit(turns(spark, sf_dir)).save(path)
+    loaded = tfidf.TfidfModel.load(spark, path).vocabulary
     return loaded.withColumn("idf", F.round("idf", 6))
 
 

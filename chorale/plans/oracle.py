@@ -297,7 +297,7 @@ ORACLES: dict[str, str] = {
         f"FROM ({TURNS_SQL}) d LEFT JOIN weights USING (id) GROUP BY d.id"
     ),
     "stored_vocabulary": (
-        f"WITH {_vocabulary(TURNS_SQL, 2_000)} SELECT idx, term, df, ctf, round(idf, 6) AS idf FROM vocabulary"
+        f"WITH {_vocabulary(TURNS_SQL)} SELECT idx, term, df, ctf, round(idf, 6) AS idf FROM vocabulary"
     ),
     "label_lists": (
         "SELECT id, array_to_string(list_filter(list_transform(string_split(coalesce(tonGold, ''), ';'), "
