@@ -30,6 +30,8 @@ _QUOTED = '"[^"]*+(?:""[^"]*+)*+'
 OPENS = rf'^(?:(?:{_QUOTED}"[^,]*+|[^",][^,]*+)?+,)*+{_QUOTED}\z'
 #: Splits whose state the driver keeps; beyond, larger splits are called for.
 MAX_SPLITS = 2_000_000
+#: Bytes of splits that one task reads, one split after the other.
+TASK_BYTES = 64 * 1024 * 1024
 
 
 @contextmanager
@@ -53,6 +55,13 @@ def fixed_splits(spark: SparkSession, split_bytes: int) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def _in_tasks(lines: DataFrame, split_bytes: int) -> DataFrame:
+    """Small splits are read several to a task, so that tasks grow in number with the bytes, not with the splits."""
+    splits = lines.rdd.getNumPartitions()
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-splits * split_bytes // TASK_BYTES))
+    return lines.coalesce(tasks) if tasks < splits else lines
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``file`` (hash of the path), ``split`` (its first byte), ``row`` (rising inside a split), ``value``,
     and the states that the line ends in: ``s`` from between records, ``q`` from inside quotes; true is inside."""
@@ -188,7 +197,7 @@ def read_records(spark: SparkSession, path: str | list[str], split_bytes: int |
     """
     split_bytes = split_bytes or int(spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b"))
     with fixed_splits(spark, split_bytes):
-        lines = _lines(spark, path)
+        lines = _in_tasks(_lines(spark, path), split_bytes)
         states = _split_states(lines)
         owners = {(file, split): owner for file, split, _, inside, owner in states if inside}
         cut = materialize(_cut(lines, owners), "csv-cut")

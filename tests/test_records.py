@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chorale.sources import files
+from chorale.sources import files, records
 from chorale.sources.records import _lines, fixed_splits, header_of, read_records
 
 NASTY = (
@@ -85,3 +85,17 @@ def test_headers_must_agree(spark, tmp_path):
     (tmp_path / "b.csv").write_text("text,n\n1,x\n")
     with pytest.raises(ValueError, match="headers"):
         read(spark, tmp_path, 1000)
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    texts = [f'{i},"a\n""b"" {"x" * (i % 40)},\n"\n' for i in range(2_000)]
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(texts))
+    with records.fixed_splits(spark, 256):
+        lines = records._lines(spark, str(tmp_path))
+        shared = records._in_tasks(lines, 256)
+        assert lines.rdd.getNumPartitions() > 100
+        assert shared.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        monkeypatch.setattr(records, "TASK_BYTES", 256 * 20)
+        assert spark.sparkContext.defaultParallelism < records._in_tasks(lines, 256).rdd.getNumPartitions() < 20
+    found = records.read_records(spark, str(tmp_path), 256).orderBy("position").collect()
+    assert [r.record + "\n" for r in found[1:]] == texts
