@@ -8,26 +8,31 @@ Two plans give the same scores for every lexicon:
   join, no shuffle.
 * **joined**, for a lexicon above ``INLINE_TERMS``: a word of a text is looked up
   in an index of the first words of all terms, a bit map of fixed size that is
-  part of the plan. Only the spans that start at such a word leave the row; they
-  are joined to the lexicon table, which is broadcast only up to
-  ``BROADCAST_TERMS`` counted terms and shuffled beyond that. Symbols and other
-  terms that are no spans of words are counted in the row as in the inline plan.
+  part of the plan. Only the spans that start at such a word leave the row, and
+  each of them once for a block of some ``BLOCK_WORDS`` words, with the rows that
+  hold it and how often; they are joined to the lexicon table, which is broadcast
+  only up to ``BROADCAST_TERMS`` counted terms and shuffled beyond that. Symbols
+  and other terms that are no spans of words are counted in the row as in the
+  inline plan.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chorale.functions.text import WORD, WORD_END, WORD_START, normalize_text
 from chorale.operators.lexicon import AXES, Axis, weigh_terms
-from chorale.session import materialize
+from chorale.session import materialize, small_batches
 from chorale.sources.checks import require_columns
 
 INLINE_TERMS = 5_000
@@ -35,6 +40,8 @@ BROADCAST_TERMS = 200_000
 #: Bits of the index of first words (a power of two), and terms counted in the row beside a joined lexicon.
 INDEX_BITS = 1 << 18
 COUNTED_TERMS = 1_000
+#: Words of a block, whose equal spans leave it as one row.
+BLOCK_WORDS = 1_000_000
 
 _SCORE_TYPE = (
     "array<struct<family:string,label:string,label_pos:int,priority:int,score:bigint>>"
@@ -195,23 +202,79 @@ def _first_words(terms: DataFrame) -> np.ndarray:
     return index
 
 
-def _candidates(clean: Column, index: np.ndarray, words: int) -> Column:
-    """Spans of up to ``words`` words that start at a word of the index; a wrong hit of the map costs a row, no more."""
-    gap = r"[^\p{L}\p{N}_]"
-    heads = F.regexp_extract_all(clean, F.lit(f"{WORD_START}({WORD}++)"), F.lit(1))
-    longest = F.lit(f"{WORD_START}(?=({WORD}++(?:{gap}++{WORD}++){{0,{words - 1}}}+))")
-    tails = F.regexp_extract_all(clean, longest, F.lit(1))
+def _known(words: Column, index: np.ndarray) -> Column:
+    """Per word, whether the index holds it; a wrong hit of the map costs a row, no more."""
     bits = F.lit(index)
 
-    def known(pair: Column) -> Column:
-        place = _place(pair["head"])
+    def known(word: Column) -> Column:
+        place = _place(word)
         return F.bit_get(bits[F.shiftright(place, 6).cast("int")], place.bitwiseAND(63).cast("int")) == 1
 
-    pairs = F.filter(F.arrays_zip(heads.alias("head"), tails.alias("tail")), known)
-    # a span of fewer words is cut off its tail; a tail with too few words gives none
-    cut = lambda tail, n: F.regexp_extract(tail, f"^{WORD}++(?:{gap}++{WORD}++){{{n}}}", 0)
-    spans = F.flatten(F.transform(pairs, lambda p: F.array(*[cut(p["tail"], n) for n in range(words)])))
-    return F.filter(spans, lambda s: s != "")
+    return F.transform(words, known)
+
+
+def _block_spans(batches: list[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The distinct spans of up to ``words`` words of a block, with the rows that hold them and how often."""
+    table = pa.Table.from_batches(batches)
+    count = pc.list_value_length(table.column("words")).to_numpy()
+    row = np.repeat(np.arange(len(count)), count)
+    rows = table.column("_row").to_numpy()
+    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    left = np.repeat(count, count) - place  # words from here to the end of the row
+
+    def coded(column: str) -> tuple[np.ndarray, pa.Array]:
+        codes = pc.list_flatten(table.column(column)).combine_chunks().dictionary_encode()
+        return codes.indices.to_numpy(), codes.dictionary.cast(pa.large_string())
+
+    word, word_texts = coded("words")
+    gap, gap_texts = coded("gaps")  # gap i stands after word i; one a word
+    heads = np.flatnonzero(pc.list_flatten(table.column("known")).to_numpy())
+    key, texts = word[heads].astype(np.int64), word_texts
+    for n in range(words):
+        if n:
+            longer = left[heads] > n
+            heads, key = heads[longer], key[longer]
+            # both codes lie below the number of words, so that a pair of them fits
+            tails, tail = np.unique(gap[heads + n - 1].astype(np.int64) * len(word_texts) + word[heads + n], return_inverse=True)
+            pairs, key = np.unique(key * max(len(tails), 1) + tail, return_inverse=True)
+            first, last = np.divmod(pairs, max(len(tails), 1))
+            between, after = np.divmod(tails[last], len(word_texts))
+            parts = (texts.take(pa.array(first)), gap_texts.take(pa.array(between)), word_texts.take(pa.array(after)))
+            texts = pc.binary_join_element_wise(*parts, pa.scalar("", pa.large_string()))
+        if not len(heads):
+            return
+        held, times = np.unique(key * len(count) + row[heads], return_counts=True)
+        span, holder = np.divmod(held, len(count))
+        spans, starts = np.unique(span, return_index=True)
+        offsets = pa.array(np.append(starts, len(held)), pa.int32())
+        out = {
+            "term": texts.take(pa.array(spans)).cast(pa.string()),
+            "rows": pa.ListArray.from_arrays(offsets, pa.array(rows[holder], pa.int64())),
+            "times": pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+        }
+        yield from pa.table(out).to_batches(max_chunksize=10_000)
+
+
+def _spans(clean: DataFrame, index: np.ndarray, words: int) -> DataFrame:
+    """``term``, ``rows``, ``times``: spans of up to ``words`` words that start at a word of the index, once a block."""
+    split = clean.select("_row", "_clean", F.regexp_extract_all("_clean", F.lit(f"{WORD}+"), F.lit(0)).alias("words"))
+    # what stands before the first word is left out
+    gaps = F.slice(F.split("_clean", f"{WORD}+", -1), 2, F.size("words"))
+    split = split.where(F.size("words") > 0).select("_row", "words", gaps.alias("gaps"), _known(F.col("words"), index).alias("known"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += pc.sum(pc.list_value_length(batch.column("words"))).as_py() or 0
+            if size >= BLOCK_WORDS:
+                yield from _block_spans(held, words)
+                held, size = [], 0
+        if size:
+            yield from _block_spans(held, words)
+
+    small_batches(clean.sparkSession)
+    return split.mapInArrow(cut, "term string, rows array<long>, times array<long>")
 
 
 def score_joined(df: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
@@ -221,25 +284,27 @@ def score_joined(df: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
     written to the shared folder; ids may repeat. Terms that are no spans of
     words are counted in the row, so there may be ``COUNTED_TERMS`` of them.
     """
+    terms = materialize(terms, "lexicon")  # read several times below
     spanned = terms.where(_spannable(F.col("term")))
     others = terms.where(~_spannable(F.col("term"))).limit(COUNTED_TERMS + 1).collect()
     if len(others) > COUNTED_TERMS:
         raise ValueError(f"more than {COUNTED_TERMS} terms are symbols or overlap themselves")
     matcher = TermMatcher.from_rows(others)
     shape = spanned.agg(F.count("*").alias("n"), F.max(F.regexp_count("term", F.lit(WORD + "+"))).alias("words")).first()
-    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "corpus")
-    clean = rows.select("_row", normalize_text(text_col).alias("_clean")).where(F.col("_clean") != "")
+    rows = df.withColumns({"_row": F.monotonically_increasing_id(), "_clean": normalize_text(text_col)})
+    rows = materialize(rows, "corpus")  # cleaned once, read twice
+    clean = rows.select("_row", "_clean").where(F.col("_clean") != "")
     label = ["family", "label", "label_pos", "priority"]
     hits = clean.withColumn("scores", matcher.scores(F.col("_clean"), matcher.find(F.col("_clean"))))
     hits = hits.select("_row", F.inline("scores")).withColumnRenamed("score", "weight")
     if shape.n:
-        spans = _candidates(F.col("_clean"), _first_words(spanned), shape.words)
-        found = clean.select("_row", F.explode(spans).alias("term"))
+        found = _spans(clean, _first_words(spanned), shape.words)
         found = found.join(F.broadcast(spanned) if shape.n <= BROADCAST_TERMS else spanned, "term")
-        hits = hits.unionByName(found.select("_row", *label, "weight"))
+        found = found.select(*label, "weight", F.inline(F.arrays_zip(F.col("rows").alias("_row"), F.col("times").alias("times"))))
+        hits = hits.unionByName(found.select("_row", *label, (F.col("weight") * F.col("times")).alias("weight")))
     scores = hits.groupBy("_row", *label).agg(F.sum("weight").alias("score")).groupBy("_row")
     scores = scores.agg(F.collect_list(F.struct(*label, "score")).alias("scores"))
-    return rows.join(scores, "_row", "left").drop("_row").withColumn(
+    return rows.join(scores, "_row", "left").drop("_row", "_clean").withColumn(
         "scores", F.coalesce("scores", F.array()).cast(_SCORE_TYPE)
     )
 

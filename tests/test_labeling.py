@@ -186,3 +186,23 @@ def test_lexicon_file(spark, tmp_path):
     again = read_lexicon(spark, path)
     assert again.schema.fieldNames() == LEXICON_SCHEMA.fieldNames()
     assert sorted(again.collect()) == sorted(demo_lexicon(spark).collect())
+
+
+def test_equal_spans_leave_a_block_once(spark, monkeypatch):
+    texts = ["a b, c a b"] * 300 + ["b-c a", "", "?", "c"]
+    clean = spark.createDataFrame(list(enumerate(texts)), "_row long, _clean string").coalesce(1)
+    index = labeling._first_words(spark.createDataFrame([("a b",), ("b-c a",)], "term string"))
+    for words, blocks in ((1_000_000, 1), (100, 16)):
+        monkeypatch.setattr(labeling, "BLOCK_WORDS", words)
+        monkeypatch.setattr(labeling, "small_batches", lambda s: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20"))
+        rows = labeling._spans(clean, index, 3).collect()
+        assert len(rows) <= 9 * blocks
+        counted = {}
+        for r in rows:
+            for at, n in zip(r.rows, r.times):
+                counted[at, r.term] = counted.get((at, r.term), 0) + n
+        assert {t: n for (at, t), n in counted.items() if at == 7} == {
+            "a": 2, "b": 2, "a b": 2, "b, c": 1, "a b, c": 1, "b, c a": 1
+        }
+        assert {t: n for (at, t), n in counted.items() if at == 300} == {"b": 1, "a": 1, "b-c": 1, "b-c a": 1}
+        assert sum(counted.values()) == 9 * 300 + 4
