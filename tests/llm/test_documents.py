@@ -175,6 +175,19 @@ def test_pairs_below_the_threshold_write_no_more_rows_than_members(spark, monkey
         assert written["block-links"] < n and written["leader-pairs"] <= n * minhash.BANDS
 
 
+def test_only_texts_that_may_be_needed_are_moved(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TEXT_BITS", 1 << 16)
+    rows = [(k if k % 50 else None, f"text {k % 900}", "x") for k in range(1000)]
+    documents = frame(spark, rows).select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    needed = documents.where("doc_id < 20").select("doc_id", "text_hash")
+    kept = minhash._likely(documents, needed)
+    assert kept.columns == documents.columns
+    found = [r.text for r in kept.collect()]
+    own = {f"text {k}" for k in range(1, 20)}
+    assert own <= set(found) and len(found) <= 19 + 19 + 5  # texts 0 to 99 come twice; a few wrong hits of the map
+    assert minhash._likely(documents, needed.limit(0)).count() == 0
+
+
 # -- toxicity
 
 
