@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm.common import materialize, table
-from chorale.llm.minhash import near_duplicates
+from chorale.llm.minhash import flagged, near_duplicates
 from chorale.llm.mixing import mix_sources
 from chorale.llm.secrets import redact, scan_secrets
 from chorale.llm.sentencepiece import encode
@@ -26,9 +26,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # ids may be null or repeat: rows are grouped by a number of their own, stored so that it stays the same
     numbered = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
     grouped = near_duplicates(numbered, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    grouped = materialize(grouped, "document-groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     kept = grouped.join(numbered.select("row", "doc_id"), "row").groupBy("component_id").agg(first).select("first.row")
-    return numbered.join(kept, "row", "left_semi").select(*COLUMNS)
+    # the rows left out are few, and a bit map tells most others apart from them, so that few texts are moved
+    dropped = grouped.join(kept, "row", "left_anti").select("row", F.xxhash64("row").alias("key"))
+    dropped = materialize(dropped, "dropped-documents")
+    told = flagged(numbered.withColumn("key", F.xxhash64("row")), dropped, "key")
+    asked = told.where("likely").join(dropped.select("row"), "row", "left_anti")
+    return told.where("NOT likely").select(*COLUMNS).unionByName(asked.select(*COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -175,6 +175,27 @@ def test_pairs_below_the_threshold_write_no_more_rows_than_members(spark, monkey
         assert written["block-links"] < n and written["leader-pairs"] <= n * minhash.BANDS
 
 
+def test_classes_that_meet_by_chance_move_no_sets(spark, monkeypatch):
+    stored = {}
+
+    def kept(df, name, store=minhash.materialize):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(minhash, "materialize", kept)
+    rng = random.Random(12)
+    common = " ".join(f"c{k}" for k in range(60))  # similarities below a half: bands meet, no pair is near the threshold
+    rows = [(k, common + " " + " ".join(f"r{rng.randrange(10**6)}" for _ in range(60)), "x") for k in range(60)]
+    rows += [(100 + k, " ".join(f"t{j}" for j in range(80)) + f" {k // 2}", "x") for k in range(4)]  # two copies of two near copies
+    found = near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: min(k, 100) for k, *_ in rows}
+    assert stored["places"].count() > 0 and stored["members-alive"].count() == 0
+    # a class met again in the same task is not described again, and all its rows are told by one signature
+    described = stored["signatures"].where("bands IS NOT NULL")
+    assert described.select("node").distinct().count() == 62 and stored["signatures"].count() == 64
+    assert len(described.first().sign) == minhash.HASHES
+
+
 def test_only_texts_that_may_be_needed_are_moved(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TEXT_BITS", 1 << 16)
     rows = [(k if k % 50 else None, f"text {k % 900}", "x") for k in range(1000)]
