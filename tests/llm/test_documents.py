@@ -196,6 +196,14 @@ def test_classes_that_meet_by_chance_move_no_sets(spark, monkeypatch):
     assert len(described.first().sign) == minhash.HASHES
 
 
+def test_copies_link_beside_missing_texts_and_ids(spark):
+    large = 2**60 + 1  # floats would round it
+    rows = [(k, f"copy {k} of a text", "x") for k in range(8)] + [(large + k, f"copy {k} of a text", "x") for k in range(8)]
+    rows += [(None, "another", "x"), (large + 9, None, "x"), (large + 11, "", "x")]
+    found = near_duplicates(frame(spark, rows).repartition(4, "doc_id")).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == {i: i - large if large <= i < large + 8 else i for i, *_ in rows if i is not None}
+
+
 def test_only_texts_that_may_be_needed_are_moved(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TEXT_BITS", 1 << 16)
     rows = [(k if k % 50 else None, f"text {k % 900}", "x") for k in range(1000)]

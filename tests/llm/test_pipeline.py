@@ -105,3 +105,20 @@ def test_one_row_of_a_group_stays_whatever_its_ids(spark):
     assert len([r for r in out if r.text in near]) == 1
     assert [r.doc_id for r in out if r.text in other] == [5]
     assert sorted((r.lang, r.source) for r in out if not r.text) == [("de", "b"), ("de", "b"), ("en", "a"), ("en", "a")]
+
+
+def test_only_documents_left_out_are_looked_up(spark, monkeypatch):
+    stored = {}
+
+    def kept(df, name, store=corpus_pipeline.materialize):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(corpus_pipeline, "materialize", kept)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(12)), "en", "x", 1) for k in range(40)]
+    rows += [(100 + k, rows[k % 2][1], "en", "x", 1) for k in range(10)] + [(None, rows[3][1], "de", "y", 2), (7, "", "de", "y", 2), (7, None, "de", "y", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "unused").collect()
+    left = rows[:40] + rows[-2:]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, left))
+    assert stored["dropped-documents"].count() == 11
