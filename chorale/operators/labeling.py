@@ -12,8 +12,8 @@ Two plans give the same scores for every lexicon:
   each of them once for a block of some ``BLOCK_WORDS`` words, with the rows that
   hold it and how often; they are joined to the lexicon table, which is broadcast
   only up to ``BROADCAST_TERMS`` counted terms and shuffled beyond that. Symbols
-  and other terms that are no spans of words are counted in the row as in the
-  inline plan.
+  and other terms that do not begin and end with a word are counted in the row as
+  in the inline plan, ``COUNTED_TERMS`` of them at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from chorale.sources.checks import require_columns
 
 INLINE_TERMS = 5_000
 BROADCAST_TERMS = 200_000
-#: Bits of the index of first words (a power of two), and terms counted in the row beside a joined lexicon.
+#: Bits of the index of first words (a power of two), and terms counted in the row by one plan beside a joined lexicon.
 INDEX_BITS = 1 << 18
 COUNTED_TERMS = 1_000
 #: Words of a block, whose equal spans leave it as one row.
@@ -181,10 +182,8 @@ def score_inline(df: DataFrame, matcher: TermMatcher, text_col: str = "text") ->
 
 
 def _spannable(term: Column) -> Column:
-    """Terms found as spans of words: a word at both ends, and no match can share characters with another."""
-    at = F.sequence(F.lit(1), F.length(term) - 1)
-    shares = F.exists(at, lambda i: term.startswith(F.substring(term, i + 1, F.length(term))) & ~F.substring(term, i, 1).rlike(WORD))
-    return term.rlike(f"^{WORD}(.*{WORD})?$") & ((F.length(term) < 2) | ~shares)
+    """Terms found as spans of words: no symbols, with a word at both ends."""
+    return term.rlike(f"^{WORD}(.*{WORD})?$") & term.rlike(r"[\p{L}\p{N}]")
 
 
 def _place(word: Column | str) -> Column:
@@ -213,6 +212,24 @@ def _known(words: Column, index: np.ndarray) -> Column:
     return F.transform(words, known)
 
 
+def _apart(heads: np.ndarray, key: np.ndarray, n: int, words: int) -> np.ndarray:
+    """Which spans of ``n`` words count: from the left, none that shares a word with an equal one that counts."""
+    at = np.full(words, -1, np.int64)
+    at[heads] = key
+    close = [heads[at[heads + d] == key] + d for d in range(1, n)]
+    counts = np.ones(len(heads), bool)
+    # spans that share words with an equal one to their left, and that one
+    met = np.unique(np.concatenate([x for d, c in enumerate(close, 1) for x in (c, c - d)] or [heads[:0]]))
+    ends: dict[int, int] = {}
+    for i, code in zip(met.tolist(), at[met].tolist()):
+        if i < ends.get(code, 0):
+            at[i] = -1
+        else:
+            ends[code] = i + n
+    counts[np.searchsorted(heads, met)] = at[met] >= 0
+    return counts
+
+
 def _block_spans(batches: list[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """The distinct spans of up to ``words`` words of a block, with the rows that hold them and how often."""
     table = pa.Table.from_batches(batches)
@@ -243,7 +260,8 @@ def _block_spans(batches: list[pa.RecordBatch], words: int) -> Iterator[pa.Recor
             texts = pc.binary_join_element_wise(*parts, pa.scalar("", pa.large_string()))
         if not len(heads):
             return
-        held, times = np.unique(key * len(count) + row[heads], return_counts=True)
+        counts = _apart(heads, key, n + 1, len(row))
+        held, times = np.unique((key * len(count) + row[heads])[counts], return_counts=True)
         span, holder = np.divmod(held, len(count))
         spans, starts = np.unique(span, return_index=True)
         offsets = pa.array(np.append(starts, len(held)), pa.int32())
@@ -280,29 +298,30 @@ def _spans(clean: DataFrame, index: np.ndarray, words: int) -> DataFrame:
 def score_joined(df: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``scores`` by joining text spans to the weighted terms.
 
-    Rows are told apart by a number of their own, given when the corpus is
-    written to the shared folder; ids may repeat. Terms that are no spans of
-    words are counted in the row, so there may be ``COUNTED_TERMS`` of them.
+    ``terms`` is stored, as it is read several times. Rows are told apart by a
+    number of their own, given when the corpus is written to the shared folder;
+    ids may repeat. Terms that are no spans of words are counted in the row,
+    ``COUNTED_TERMS`` of them in a pass.
     """
-    terms = materialize(terms, "lexicon")  # read several times below
     spanned = terms.where(_spannable(F.col("term")))
-    others = terms.where(~_spannable(F.col("term"))).limit(COUNTED_TERMS + 1).collect()
-    if len(others) > COUNTED_TERMS:
-        raise ValueError(f"more than {COUNTED_TERMS} terms are symbols or overlap themselves")
-    matcher = TermMatcher.from_rows(others)
     shape = spanned.agg(F.count("*").alias("n"), F.max(F.regexp_count("term", F.lit(WORD + "+"))).alias("words")).first()
     rows = df.withColumns({"_row": F.monotonically_increasing_id(), "_clean": normalize_text(text_col)})
-    rows = materialize(rows, "corpus")  # cleaned once, read twice
+    rows = materialize(rows, "corpus")  # cleaned once, read several times
     clean = rows.select("_row", "_clean").where(F.col("_clean") != "")
     label = ["family", "label", "label_pos", "priority"]
-    hits = clean.withColumn("scores", matcher.scores(F.col("_clean"), matcher.find(F.col("_clean"))))
-    hits = hits.select("_row", F.inline("scores")).withColumnRenamed("score", "weight")
+    hits = []
+    others = terms.where(~_spannable(F.col("term"))).orderBy("term").toLocalIterator()
+    while (part := list(islice(others, COUNTED_TERMS))) or not (hits or shape.n):
+        matcher = TermMatcher.from_rows(part)
+        counted = clean.withColumn("scores", matcher.scores(F.col("_clean"), matcher.find(F.col("_clean"))))
+        counted = counted.select("_row", F.inline("scores")).withColumnRenamed("score", "weight")
+        hits.append(materialize(counted, "counted-terms") if len(part) == COUNTED_TERMS else counted)
     if shape.n:
         found = _spans(clean, _first_words(spanned), shape.words)
         found = found.join(F.broadcast(spanned) if shape.n <= BROADCAST_TERMS else spanned, "term")
         found = found.select(*label, "weight", F.inline(F.arrays_zip(F.col("rows").alias("_row"), F.col("times").alias("times"))))
-        hits = hits.unionByName(found.select("_row", *label, (F.col("weight") * F.col("times")).alias("weight")))
-    scores = hits.groupBy("_row", *label).agg(F.sum("weight").alias("score")).groupBy("_row")
+        hits.append(found.select("_row", *label, (F.col("weight") * F.col("times")).alias("weight")))
+    scores = reduce(DataFrame.unionByName, hits).groupBy("_row", *label).agg(F.sum("weight").alias("score")).groupBy("_row")
     scores = scores.agg(F.collect_list(F.struct(*label, "score")).alias("scores"))
     return rows.join(scores, "_row", "left").drop("_row", "_clean").withColumn(
         "scores", F.coalesce("scores", F.array()).cast(_SCORE_TYPE)
@@ -371,7 +390,7 @@ def build_matcher(lexicon: DataFrame) -> TermMatcher:
 def score_corpus(df: DataFrame, lexicon: DataFrame, text_col: str = "text", inline_terms: int = INLINE_TERMS) -> DataFrame:
     """Add ``scores``, by the inline plan or, above ``inline_terms``, the joined one; both score alike."""
     require_columns(df, [text_col], "corpus")
-    terms = weigh_terms(lexicon)
+    terms = materialize(weigh_terms(lexicon), "lexicon")
     rows = terms.limit(inline_terms + 1).collect()
     if len(rows) <= inline_terms:
         return score_inline(df, TermMatcher.from_rows(rows), text_col)

@@ -160,7 +160,7 @@ def label_scores_large(spark, sf_dir):
     following = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
     pairs = F.filter(
         F.arrays_zip(F.col("words").alias("a"), following.alias("b"), F.col("gaps").alias("gap")),
-        lambda p: (p["gap"] == " ") & ~F.startswith(p["a"], p["b"]),
+        lambda p: (p["gap"] == " ") & p["b"].isNotNull(),
     )
     terms = words.select(F.explode(F.concat("words", F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"])))).alias("term"))
     even = F.length("term") % 2 == 0

@@ -469,13 +469,20 @@ WITH lines AS (SELECT {_norm('text')} AS line FROM conversations),
 cut AS (SELECT regexp_extract_all(line, '[\p{{L}}\p{{N}}_]+') AS words, regexp_split_to_array(line, '[\p{{L}}\p{{N}}_]+') AS gaps FROM lines),
 singles AS (SELECT unnest(words) AS term FROM cut),
 doubles AS (SELECT words[i] || ' ' || words[i + 1] AS term
-            FROM (SELECT words, gaps, unnest(range(1, len(words))) AS i FROM cut) WHERE gaps[i + 1] = ' ' AND NOT starts_with(words[i], words[i + 1])),
+            FROM (SELECT words, gaps, unnest(range(1, len(words))) AS i FROM cut) WHERE gaps[i + 1] = ' '),
 terms AS (SELECT * FROM singles UNION SELECT * FROM doubles),
 clean AS (SELECT doc_id AS id, {_norm('text')} AS line FROM documents),
 runs AS (SELECT id, regexp_extract_all(line, '[\p{{L}}\p{{N}}_]+') AS words, regexp_split_to_array(line, '[\p{{L}}\p{{N}}_]+') AS gaps FROM clean),
+pairs AS (
+    SELECT id, i, words[i] || gaps[i + 1] || words[i + 1] AS term, gaps[i + 1] = ' ' AND words[i] = words[i + 1] AS twin
+    FROM (SELECT id, words, gaps, unnest(range(1, len(words))) AS i FROM runs)),
+islands AS (SELECT id, i, term, i - row_number() OVER (PARTITION BY id, term ORDER BY i) AS island FROM pairs WHERE twin),
 spans AS (
     SELECT id, unnest(words) AS term FROM runs
-    UNION ALL SELECT id, words[i] || gaps[i + 1] || words[i + 1] AS term FROM (SELECT id, words, gaps, unnest(range(1, len(words))) AS i FROM runs)),
+    UNION ALL SELECT id, term FROM pairs WHERE NOT twin
+    -- a word said over and over: pairs do not share words, so every second one of a run counts
+    UNION ALL SELECT id, term FROM (
+        SELECT id, term, row_number() OVER (PARTITION BY id, term, island ORDER BY i) AS place FROM islands) WHERE place % 2 = 1),
 hits AS (SELECT id, length(term) % 2 = 0 AS even FROM spans JOIN terms USING (term))
 SELECT id, CASE WHEN even THEN 'polarite' ELSE 'target' END AS family,
        CASE WHEN even THEN 'Favorable' ELSE 'Politique' END AS label, count(*) AS score

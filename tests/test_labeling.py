@@ -206,3 +206,30 @@ def test_equal_spans_leave_a_block_once(spark, monkeypatch):
         }
         assert {t: n for (at, t), n in counted.items() if at == 300} == {"b": 1, "a": 1, "b-c": 1, "b-c a": 1}
         assert sum(counted.values()) == 9 * 300 + 4
+
+
+def test_any_number_of_odd_terms_is_counted_beside_a_joined_lexicon(spark, monkeypatch):
+    terms = {"Favorable": ["#lol", "c++", "..", "ha ha", "a b a"], "Question": ["?", "_", "a'", "#lol"], "Politique": ["b c"]}
+    texts = ["#lol c++ ha ha ha ha .. x_y", "a b a b a b a ? a' _", "ha ha, ha ha ha b c", "#lol #lol"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    lexicon = lexicon_frame(spark, terms)
+
+    def scored(limit):
+        return sorted(map(tuple, labeling.score_rows(labeling.score_corpus(df, lexicon, inline_terms=limit)).collect()))
+
+    expected = scored(100)
+    assert (0, "polarite", "Favorable", 5) in expected and (1, "polarite", "Favorable", 2) in expected
+    for counted in (1, 2, 1_000):
+        monkeypatch.setattr(labeling, "COUNTED_TERMS", counted)
+        assert scored(0) == expected
+
+
+def test_a_large_lexicon_has_the_pairs_of_equal_words(spark, tmp_path):
+    from chorale.plans.catalog import label_scores_large
+
+    spark.createDataFrame([(1, 0, "the the cat, them the")], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    texts = [(1, "the the the"), (2, "them the dog"), (3, "cat, them"), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.id, r.family): r.score for r in label_scores_large(spark, str(tmp_path)).collect()}
+    # of odd length: "the", "cat", "the the"; of even length: "them", "them the", "the cat"
+    assert got == {(1, "target"): 4, (2, "polarite"): 2, (2, "target"): 1, (3, "polarite"): 1, (3, "target"): 1}
