@@ -169,3 +169,14 @@ def test_the_array_decides_on_articles_too(spark):
         assert texts[300 + i] == (own[i] if i < 9 else notice)
     assert [texts[100 + i] for i in range(7)] == [f"{own[i]}\n{notice}" for i in range(7)]
     assert [texts[200 + i] for i in range(12)] == [f"{copied}\nlast{i % 9}\n{notice}" for i in range(12)]
+
+
+def test_articles_lose_repeats_inside_and_across_blocks(spark):
+    rng = random.Random(14)
+    inside, tail = words(rng, 12), [words(rng, 3), words(rng, 4)]
+    for n in (12, 60):
+        own = [words(rng, 20) for _ in range(n)]
+        page = lambda i: f"<article><p>{own[i]} {inside} end{i}</p><p>{tail[0]}</p><p>{tail[1]}</p></article>"
+        texts = texts_of(spark, [(i, "http://a.org/", page(i)) for i in range(n)])
+        # the run in a block is cut out, the two short blocks make one repeat
+        assert texts == {i: f"{own[i]} end{i}" for i in range(n)}
